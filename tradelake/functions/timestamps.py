@@ -134,7 +134,13 @@ def _fractional_to_ms(x: Column) -> Column:
     finite = ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
     ms = F.when(x < F.lit(SECONDS_BELOW), x * F.lit(1000.0)).otherwise(x)
     bounded = F.greatest(F.least(ms, F.lit(float(OUT_OF_RANGE))), F.lit(-float(OUT_OF_RANGE)))
-    return F.when(finite, bounded.cast("decimal(38,0)"))
+    # Truncate toward zero in the double domain (a cast to DECIMAL would round);
+    # from 2**53 up every double is an integer and converts exactly.
+    truncated = F.when(bounded >= 0, F.floor(bounded)).otherwise(F.ceil(bounded))
+    exact = F.when(F.abs(bounded) < F.lit(2.0**53), truncated.cast("decimal(38,0)")).otherwise(
+        bounded.cast("decimal(38,0)")
+    )
+    return F.when(finite, exact)
 
 
 def epoch_ms_wide(col: Column | str, dtype: DataType) -> Column:

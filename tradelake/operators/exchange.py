@@ -50,9 +50,10 @@ def from_exchange(df: DataFrame, msg: str = "msg") -> DataFrame:
     )
 
 
-def to_canonical_json(df: DataFrame) -> DataFrame:
+def to_canonical_json(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Canonical event as JSON text (what the producer sends to the topic)."""
     return df.select(
+        *keep,
         F.to_json(
             F.struct(
                 F.col("symbol"), F.col("price"), F.col("quantity"), F.col("timestamp")
