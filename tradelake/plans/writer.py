@@ -37,7 +37,10 @@ def write_trades(
     (processing time when None; a column such as ``col("timestamp")`` for backfills)."""
     if batch_size is not None and int(batch_size) <= 0:
         raise ValueError("batch_size must be a positive integer")
-    writer = with_lake_partitions(df, as_of).write.mode(mode).partitionBy(*LAKE_PARTITIONS)
+    # Rebalance on the folder columns: AQE splits a big folder (all of today's
+    # trades) into advisory-size tasks and packs small folders together.
+    staged = with_lake_partitions(df, as_of).hint("rebalance", *LAKE_PARTITIONS)
+    writer = staged.write.mode(mode).partitionBy(*LAKE_PARTITIONS)
     if batch_size:
         writer = writer.option("maxRecordsPerFile", int(batch_size))
     writer.parquet(path)

@@ -42,8 +42,11 @@ def load_stream(spark: SparkSession, root: str, table: str, checkpoint: str, *,
         at = _dt.datetime.now(_dt.timezone.utc)
         batch = batch.persist()
         try:
-            rows = batch.select(*FACT_COLUMNS).withColumn("trade_date", trade_date("timestamp")).withColumn(
-                "load_id", F.lit(load_id)
+            rows = (
+                batch.select(*FACT_COLUMNS)
+                .withColumn("trade_date", trade_date("timestamp"))
+                .withColumn("load_id", F.lit(load_id))
+                .hint("rebalance", "trade_date")
             )
             with _dynamic_overwrite(batch.sparkSession):
                 rows.write.insertInto(names.fact, overwrite=True)
