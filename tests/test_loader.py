@@ -72,6 +72,9 @@ def test_incremental_load_records_only_new(spark, tmp_dir):
     assert isinstance(loaded_at, dt.datetime)
     again = load_batch(spark, pattern, table).first()
     assert again.files_loaded == 0 and fact_view(spark, table).count() == 1
+    from tradelake.plans import is_loaded
+
+    assert is_loaded(spark, table, recorded[0]) and not is_loaded(spark, table, "gs://nowhere/x.parquet")
 
 
 def test_load_is_exactly_once_after_crash(spark, tmp_dir):

@@ -62,3 +62,15 @@ def test_kafka_options():
     assert opts["maxOffsetsPerTrigger"] == "1000" and opts["kafka.bootstrap.servers"] == "b:9092"
     sink = kafka.sink_options(topic="btc_trades", checkpoint="/c")
     assert sink == {"kafka.bootstrap.servers": "localhost:9092", "topic": "btc_trades", "checkpointLocation": "/c"}
+
+
+def test_for_each_batch_callback(spark):
+    from tradelake.streaming import for_each_batch
+
+    folder = _messages(spark)
+    seen = []
+    q = for_each_batch(spark.readStream.schema("value string").text(folder),
+                       lambda df, bid: seen.append((bid, df.count())), scratch_dir(spark, "ck"),
+                       raw=True, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert sum(n for _, n in seen) == decode_trades(spark.read.text(folder), raw=True).clean.count()

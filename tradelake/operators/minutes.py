@@ -41,7 +41,9 @@ def minute_price_runs(trades: DataFrame, by: tuple[str, ...] = ("symbol",)) -> D
 def minute_prices(
     trades: DataFrame, by: tuple[str, ...] = ("symbol",), max_list: int = DEFAULT_MAX_LIST
 ) -> DataFrame:
-    """``minute, *by, chunk, n_trades, n_prices, prices``.
+    """``minute, *by, chunk, minute_trades, n_trades, n_prices, prices``.
+
+    ``minute_trades`` counts the whole minute; ``n_trades`` / ``n_prices`` the chunk.
 
     ``prices`` is ``array<struct<price double, n bigint>>`` sorted by price. A
     minute with more than ``max_list`` distinct prices is split into several
@@ -52,14 +54,16 @@ def minute_prices(
         raise ValueError("max_list must be positive")
     group = ["minute", *by]
     runs = minute_price_runs(trades, by)
-    sizes = runs.groupBy(*group).agg(F.count(F.lit(1)).alias("_n_prices"))
+    # The per-minute totals read the same columns of ``runs`` as the chunked side,
+    # so both sides share one exchange (Spark reuses it instead of recomputing).
+    sizes = runs.groupBy(*group).agg(F.count(F.lit(1)).alias("_n_prices"), F.sum("n").alias("minute_trades"))
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n_prices") / F.lit(max_list)))
     chunked = runs.join(sizes, group).withColumn("chunk", F.pmod(F.xxhash64("price"), n_chunks).cast("int"))
     # Repartition on the chunk too: the join output is already clustered on the
     # minute, and grouping would otherwise reuse that and keep a hot minute whole.
     return (
         chunked.repartition(*[F.col(c) for c in group], F.col("chunk"))
-        .groupBy(*group, "chunk")
+        .groupBy(*group, "chunk", "minute_trades")
         .agg(
             F.sum("n").alias("n_trades"),
             F.count(F.lit(1)).alias("n_prices"),

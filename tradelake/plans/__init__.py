@@ -6,6 +6,7 @@ from .tables import (
     already_loaded,
     ensure_tables,
     fact_view,
+    is_loaded,
     ledger_id,
     ledger_view,
     resolve_names,
@@ -14,6 +15,6 @@ from .tables import (
 from .writer import write_trades
 
 __all__ = [
-    "load_batch", "recover", "TableNames", "already_loaded", "ensure_tables", "fact_view",
+    "load_batch", "recover", "TableNames", "already_loaded", "ensure_tables", "fact_view", "is_loaded",
     "ledger_id", "ledger_view", "resolve_names", "trades_between", "write_trades",
 ]

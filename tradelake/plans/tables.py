@@ -123,6 +123,11 @@ def already_loaded(spark: SparkSession, table: str, ledger_name: str = DEFAULT_L
     return ledger_view(spark, table, ledger_name).select("file_name").distinct()
 
 
+def is_loaded(spark: SparkSession, table: str, file_name: str, ledger_name: str = DEFAULT_LEDGER) -> bool:
+    """Point lookup of one file in the ledger (a pushed-down equality filter)."""
+    return not ledger_view(spark, table, ledger_name).where(F.col("file_name") == file_name).limit(1).isEmpty()
+
+
 def fact_view(spark: SparkSession, table: str) -> DataFrame:
     """The four public columns of the fact table."""
     names = resolve_names(spark, table)

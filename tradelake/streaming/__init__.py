@@ -1,10 +1,10 @@
 """Structured Streaming forms of ingest, minute buckets and load."""
 
-from .ingest import decode_trades, stream_rejects, stream_trades
+from .ingest import decode_trades, for_each_batch, stream_rejects, stream_trades
 from .load import lake_stream, load_stream
 from .minutes import minute_ohlcv_stream, minute_price_runs_stream
 
 __all__ = [
-    "decode_trades", "stream_rejects", "stream_trades", "lake_stream", "load_stream",
+    "decode_trades", "for_each_batch", "stream_rejects", "stream_trades", "lake_stream", "load_stream",
     "minute_ohlcv_stream", "minute_price_runs_stream",
 ]

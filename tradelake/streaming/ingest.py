@@ -58,6 +58,20 @@ def stream_trades(
     return _start(clean, path, checkpoint, trigger, options, LAKE_PARTITIONS)
 
 
+def for_each_batch(messages: DataFrame, fn, checkpoint: str, *, raw: bool = False,
+                   trigger: dict | None = None) -> StreamingQuery:
+    """Call ``fn(clean_trades, batch_id)`` for every micro-batch of clean trades.
+
+    The reference plugs a per-message callback into its socket client; here the
+    callback gets a whole micro-batch as a DataFrame (use ``DataFrame.transform``
+    for pure logic). ``fn`` should be idempotent per ``batch_id``: a batch is
+    replayed after a failure.
+    """
+    clean = decode_trades(messages, raw).clean
+    writer = clean.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
 def stream_rejects(messages: DataFrame, path: str, checkpoint: str, *, raw: bool = False,
                    trigger: dict | None = None) -> StreamingQuery:
     """Reject rows (``value, reject_reason``) of the same stream, as their own query."""

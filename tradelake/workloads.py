@@ -300,7 +300,7 @@ def q_minute_prices(spark, sf):
     mp = minute_prices(_clean_events(spark, sf, keep=()))
     p = F.col("prices")
     return mp.select(
-        "minute", "symbol", F.col("chunk").cast("bigint").alias("chunk"), "n_trades", "n_prices",
+        "minute", "symbol", F.col("chunk").cast("bigint").alias("chunk"), "minute_trades", "n_trades", "n_prices",
         p[0]["price"].alias("first_price"), F.element_at(p, -1)["price"].alias("last_price"),
         p[0]["n"].alias("first_n"), F.element_at(p, -1)["n"].alias("last_n"),
         _dec(F.aggregate(p, F.lit(0.0), lambda acc, r: acc + r["price"] * r["n"])).alias("price_sum"),
@@ -309,7 +309,8 @@ def q_minute_prices(spark, sf):
 
 SQL_MINUTE_PRICES = EV + f"""
 , runs AS (SELECT {MINUTE} AS minute, symbol, price, count(*) AS n FROM clean GROUP BY ALL)
-SELECT minute, symbol, CAST(0 AS BIGINT) AS chunk, sum(n)::BIGINT AS n_trades, count(*) AS n_prices,
+SELECT minute, symbol, CAST(0 AS BIGINT) AS chunk, sum(n)::BIGINT AS minute_trades, sum(n)::BIGINT AS n_trades,
+       count(*) AS n_prices,
        min(price) AS first_price, max(price) AS last_price,
        arg_min(n, price) AS first_n, arg_max(n, price) AS last_n,
        CAST(round(sum(price * n), 4) AS DECIMAL(18,4)) AS price_sum
