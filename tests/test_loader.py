@@ -111,7 +111,7 @@ def test_unreadable_file_is_reported_and_retried(spark, tmp_dir):
 
 def test_missing_ledger_and_no_match(spark, tmp_dir):
     _write_pyarrow_files(tmp_dir, ["us"])
-    spark.sql("CREATE DATABASE IF NOT EXISTS t_noledger")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS t_noledger LOCATION '{scratch_dir(spark, 'wh')}'")
     with pytest.raises(LedgerMissing):
         load_batch(spark, tmp_dir + "/btc_trades/*/*/*/*.parquet", "t_noledger.btc_trades")
     ensure_tables(spark, "t_nomatch.btc_trades", location=scratch_dir(spark, "wh"))

@@ -149,7 +149,9 @@ def load_batch(
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc)
     recovered = recover(spark, names)
 
-    listed = list_files(spark, pattern)
+    # The listing is used several times below (counts, preview, anti join): cut it
+    # once into the shared checkpoint folder instead of re-scanning file metadata.
+    listed = list_files(spark, pattern).checkpoint(eager=True)
     found = listed.count()
     considered = listed if limit_after_filter else limit_files(listed, limit)
     pending = pending_files(considered, ledger_rows(spark, names))
