@@ -24,16 +24,15 @@ def from_exchange(df: DataFrame, msg: str = "msg") -> DataFrame:
     """Decoded raw messages (VARIANT column ``msg``) -> canonical columns
     ``symbol`` (VARIANT), ``price`` DOUBLE, ``quantity`` DOUBLE, ``timestamp`` (VARIANT)."""
     m = F.col(msg)
-    top = J.json_type(m)
     rest = [c for c in df.columns if c not in (msg, PRE_REASON, *EXCHANGE_KEYS.values())]
-    fields = df.select(
-        *rest,
-        *[J.field(m, k).alias(f"_x_{k}") for k in EXCHANGE_KEYS],
-        F.when(m.isNull(), F.lit("malformed_json")).when(~top.startswith("OBJECT"), F.lit("not_an_object")).alias("_shape"),
-    )
+    fields = df.select(*rest, m.alias("_x_msg"), *[J.field(m, k).alias(f"_x_{k}") for k in EXCHANGE_KEYS])
     s, p, q, t = (F.col(f"_x_{k}") for k in EXCHANGE_KEYS)
+    # The top-level type (a schema string over every key) is only needed when a
+    # key is missing: an object with all keys is an object.
+    top = J.json_type(F.col("_x_msg"))
     reason = (
-        F.when(F.col("_shape").isNotNull(), F.col("_shape"))
+        F.when(F.col("_x_msg").isNull(), F.lit("malformed_json"))
+        .when((s.isNull() | p.isNull() | q.isNull() | t.isNull()) & ~top.startswith("OBJECT"), F.lit("not_an_object"))
         .when(s.isNull(), F.lit("missing_symbol"))
         .when(p.isNull(), F.lit("missing_price"))
         .when(q.isNull(), F.lit("missing_quantity"))

@@ -55,8 +55,14 @@ def message_fields(df: DataFrame, msg: str = "msg", raw: str | None = "value") -
     """Spread a decoded canonical message into VARIANT columns ``symbol, price,
     quantity, timestamp`` and a pre-reason for text that is not a JSON object."""
     m = F.col(msg)
-    top = J.json_type(m)
-    shape = F.when(m.isNull(), F.lit("malformed_json")).when(~top.startswith("OBJECT"), F.lit("not_an_object"))
+    # The top-level type is a schema string over every key: only compute it when
+    # no canonical key is found (an object with any of them is an object).
+    none_found = F.lit(True)
+    for f in FIELDS:
+        none_found = none_found & J.field(m, f).isNull()
+    shape = F.when(m.isNull(), F.lit("malformed_json")).when(
+        none_found & ~J.json_type(m).startswith("OBJECT"), F.lit("not_an_object")
+    )
     prior = F.coalesce(F.col(PRE_REASON), shape) if PRE_REASON in df.columns else shape
     return df.select(
         *[c for c in df.columns if c not in (msg, PRE_REASON) + FIELDS],
