@@ -126,7 +126,8 @@ def test_limit_before_filter_makes_no_progress(spark, tmp_dir):
     pattern = tmp_dir + "/btc_trades/*/*/*/*.parquet"
     assert load_batch(spark, pattern, table, limit=1).first().files_loaded == 1
     assert load_batch(spark, pattern, table, limit=1).first().files_loaded == 0
-    assert load_batch(spark, pattern, table, limit=1, limit_after_filter=True).first().files_loaded == 1
+    m = load_batch(spark, pattern, table, limit=1, limit_after_filter=True).first()
+    assert (m.files_found, m.files_skipped, m.files_loaded) == (3, 1, 1)
 
 
 def test_trades_between_prunes_partitions(spark, tmp_dir):

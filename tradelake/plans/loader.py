@@ -155,9 +155,11 @@ def load_batch(
     found = listed.count()
     considered = listed if limit_after_filter else limit_files(listed, limit)
     pending = pending_files(considered, ledger_rows(spark, names))
-    if limit_after_filter:
-        pending = limit_files(pending, limit)
     n_considered = considered.count() if limit and not limit_after_filter else found
+    n_unloaded = None
+    if limit_after_filter and limit:
+        n_unloaded = pending.count()  # before any ledger write of this run
+        pending = limit_files(pending, limit)
     preview_paths = [r.path for r in considered.select("path").orderBy("path").limit(5).collect()]
 
     # Footer classification runs once (a Python task per partition); the result is
@@ -187,7 +189,8 @@ def load_batch(
         failed_total += len(failed_paths)
         loads += 1
 
-    metrics = [(found, n_considered - n_pending, loaded_files, failed_total, rows_total, loads, recovered, preview_paths)]
+    skipped = n_considered - (n_pending if n_unloaded is None else n_unloaded)
+    metrics = [(found, skipped, loaded_files, failed_total, rows_total, loads, recovered, preview_paths)]
     return spark.createDataFrame(metrics, METRICS_SCHEMA)
 
 
