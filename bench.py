@@ -21,7 +21,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from tradelake import get_session, scratch_dir  # noqa: E402
 from tradelake.functions.json import decode_json  # noqa: E402

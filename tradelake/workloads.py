@@ -16,7 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, VariantType
+from pyspark.sql.types import StringType, VariantType
 
 from .functions import json as J
 from .functions.json import decode_json
