@@ -74,3 +74,52 @@ def test_for_each_batch_callback(spark):
                        raw=True, trigger={"availableNow": True})
     q.awaitTermination()
     assert sum(n for _, n in seen) == decode_trades(spark.read.text(folder), raw=True).clean.count()
+
+
+def test_stream_rejects_match_batch(spark):
+    from tradelake.streaming import stream_rejects
+
+    folder = scratch_dir(spark, "msgs")
+    bad = spark.createDataFrame([('{"s":"x","p":"0","q":"1","T":1704067200000}',), ("notjson",), ("[1]",)], "value string")
+    events_as_messages(spark, SF).select("value").unionByName(bad).write.text(folder)
+    out = scratch_dir(spark, "rej")
+    stream_rejects(spark.readStream.schema("value string").text(folder), out, scratch_dir(spark, "ck"),
+                   raw=True, trigger={"availableNow": True}).awaitTermination()
+    got = {r.reject_reason: r.n for r in spark.read.parquet(out).groupBy("reject_reason").agg(F.count("*").alias("n")).collect()}
+    batch = decode_trades(spark.read.text(folder), raw=True).rejects
+    want = {r.reject_reason: r.n for r in batch.groupBy("reject_reason").agg(F.count("*").alias("n")).collect()}
+    assert got == want and got["malformed_json"] == 1 and got["not_an_object"] == 1
+
+
+def test_ohlcv_stream_matches_batch_for_closed_minutes(spark):
+    from tradelake.operators import minute_ohlcv
+    from tradelake.streaming import minute_ohlcv_stream
+
+    folder = _messages(spark)
+    out = scratch_dir(spark, "ohlcv")
+    trades = decode_trades(spark.readStream.schema("value string").text(folder), raw=True).clean
+    (minute_ohlcv_stream(trades, "1 minute").writeStream.format("parquet")
+     .option("checkpointLocation", scratch_dir(spark, "ck")).trigger(availableNow=True).start(out).awaitTermination())
+    batch_trades = decode_trades(spark.read.text(folder), raw=True).clean
+    max_ms = batch_trades.agg(F.max(F.unix_millis("timestamp"))).first()[0]
+    cols = ["minute", "symbol", "n_trades", "open", "high", "low", "close"]
+    expected = minute_ohlcv(batch_trades).where((F.col("minute") + 1) * 60000 <= max_ms - 60000).select(*cols)
+    got = spark.read.parquet(out).select(*cols)
+    assert got.count() == expected.count() > 0
+    assert got.exceptAll(expected).count() == 0
+
+
+def test_dedupe_stream_and_new_rows(spark):
+    from tradelake.operators.dedupe import dedupe_stream, dedupe_trades, new_rows
+
+    folder = scratch_dir(spark, "msgs")
+    msgs = events_as_messages(spark, SF).select("value")
+    msgs.unionByName(msgs).write.text(folder)  # every message delivered twice
+    out = scratch_dir(spark, "dedupe")
+    trades = decode_trades(spark.readStream.schema("value string").text(folder), raw=True).clean
+    (dedupe_stream(trades, "10 minutes").writeStream.format("parquet")
+     .option("checkpointLocation", scratch_dir(spark, "ck")).trigger(availableNow=True).start(out).awaitTermination())
+    batch = decode_trades(spark.read.text(folder), raw=True).clean
+    distinct = dedupe_trades(batch)
+    assert spark.read.parquet(out).count() == distinct.count() == batch.count() // 2
+    assert new_rows(batch, distinct).count() == 0
