@@ -7,9 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradelake.session import scratch_dir
+
 from .common import table, text_of
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import read_warc, resolve_revisits, write_warc
+
+    path = scratch_dir(spark, "warc")
+    write_warc(resolve_revisits(table(spark, sf_dir, "pages")), path)
+    return read_warc(spark, path)
+
+
+OP1_SQL = r"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, url, strlen(body) AS n, sha1(body) AS h FROM p),
+b AS (
+  SELECT page_id, url, n, array_to_string(list_transform(range(0, 32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + CAST((CAST('0x' || substr(h, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS BIGINT), 1)), '') AS digest
+  FROM d),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS winner FROM b)
+SELECT page_id, url, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = winner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = winner THEN NULL ELSE winner END AS refers_to
+FROM w
+"""
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lower half of the id range is the history, the upper half the new batch; all rows are returned."""
+    from .exact_dedup import deduplicate
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    old = F.coalesce(F.col("doc_id") <= ((low or 0) + (high or 0)) // 2, F.lit(True))
+    return deduplicate(docs.where(old), docs.where(~old)).drop("in_history")
+
+
+OP3_SQL = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import drop_repeated_lines
 
@@ -40,9 +83,13 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op3_exact_dedup": op3_exact_dedup,
     "op7_line_dedup": op7_line_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": OP1_SQL,
+    "op3_exact_dedup": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
 }
 
