@@ -36,6 +36,21 @@ FROM w
 """
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_files import read_token_files, write_token_files
+
+    path = scratch_dir(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"), spaces="part", end_id=2)
+    return read_token_files(spark, path)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lower half of the id range is the history, the upper half the new batch; all rows are returned."""
     from .exact_dedup import deduplicate
@@ -53,6 +68,13 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_documents
+
+    pieces = pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), spaces="dropped", end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import drop_repeated_lines
 
@@ -84,7 +106,9 @@ FROM marked GROUP BY doc_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_token_blocks": op2_token_blocks,
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
