@@ -104,12 +104,19 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(CASE WHEN gone THEN
 FROM marked GROUP BY doc_id
 """
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import similar_documents
+
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_blocks": op2_token_blocks,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": OP1_SQL,
