@@ -110,6 +110,15 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: whether it holds a benchmark item, and which (item ids, ascending; shares of their words in order)."""
+    from .decontaminate import find_leaks
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("leaks") > 0).alias("contaminated"), F.col("leaks.item_id").alias("item_ids"), F.col("leaks.ratio").alias("ratios"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_blocks": op2_token_blocks,
@@ -117,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": OP1_SQL,
