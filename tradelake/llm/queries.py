@@ -68,6 +68,21 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def fold(n: int):
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score, train
+
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = train(docs, labels.where(fold(4) != 2))
+    return score(docs, model).select(
+        "doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -123,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_blocks": op2_token_blocks,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_toxicity": op4_toxicity,
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
