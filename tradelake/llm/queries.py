@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradelake.session import scratch_dir
 
-from .common import table, text_of
+from .common import saved, table, text_of
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +83,16 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score, statistics, train
+
+    stats = saved(statistics(table(spark, sf_dir, "documents")), "text-statistics")
+    model = train(stats, table(spark, sf_dir, "labels").where(fold(3) != 1))
+    return score(stats, model).select(
+        "doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -139,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_blocks": op2_token_blocks,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,

@@ -7,6 +7,9 @@ of encoding it whole:
   other characters. Texts with any other white space are given to the library whole.
 * ``spaces="dropped"`` (vocabularies that drop white space): at every space and newline.
 
+A word of letters, with or without a full stop or comma after it, is one piece (or two) under that
+rule, so the library's model gets it straight away; other words go through the whole library.
+
 Words and their ids stay in the Python worker between tasks, up to ``MAX_WORDS``.
 Strings of special tokens in a text are ordinary text.
 """
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,6 +29,13 @@ BATCH_CHARS = 1_000_000
 _UNSAFE = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]\Z|\x00")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class WordEncoder:
     def __init__(self, path: str, spaces: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task for each core
@@ -33,6 +44,10 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.part = {"part": True, "dropped": False}[spaces]
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.ends = {c: self._whole([c])[0] for c in ".,"}
+        self.newline = self._whole(["\n"])[0]
         self._clear()
 
     def _clear(self) -> None:
@@ -42,11 +57,35 @@ class WordEncoder:
         self.ids = np.zeros(1 << 18, dtype=np.uint32)
         self.used = 0
 
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _plain(self, word: str) -> list[int] | None:
+        """Ids of a word of letters by the model alone; None if it isn't one."""
+        lead: list[int] = []
+        space = " " if self.part else ""
+        if self.part and word[:1] in "\0\n":
+            lead, space, word = (self.newline if word[:1] == "\n" else []), "", word[1:]
+        end: list[int] = []
+        if word[-1:] in self.ends:
+            end, word = self.ends[word[-1]], word[:-1]
+        if not word.isalpha():
+            return None
+        if not self.part:  # vocabularies that fold case compose and lower-case first
+            if not word.isascii() and ("\u0130" in word or "\u03a3" in word or not unicodedata.is_normalized("NFC", word)):
+                return None
+            word = word.lower()
+        piece = (space + word).encode().decode("latin-1").translate(self.letters)
+        return lead + [t.id for t in self.model.tokenize(piece)] + end
+
     def _learn(self, words: list[str]) -> None:
-        texts = words
+        found = [self._plain(w) for w in words]
+        odd = [k for k, ids in enumerate(found) if ids is None]
+        texts = [words[k] for k in odd]
         if self.part:  # "\0" marks a text's first word, which has no space before it
-            texts = [w[1:] if w[:1] == "\0" else w if w[:1] == "\n" else " " + w for w in words]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            texts = [w[1:] if w[:1] == "\0" else w if w[:1] == "\n" else " " + w for w in texts]
+        for k, ids in zip(odd, self._whole(texts)):
+            found[k] = ids
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         n, total = len(self.places), int(sizes.sum())
         while n + len(words) > len(self.starts):
