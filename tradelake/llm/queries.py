@@ -129,6 +129,12 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(CASE WHEN gone THEN
 FROM marked GROUP BY doc_id
 """
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .main_text import extract
+
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import similar_documents
 
@@ -152,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
+    "op8_main_text": op8_main_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
