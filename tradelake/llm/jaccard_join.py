@@ -291,7 +291,7 @@ def _sets(work: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     merged = _merge_pieces(few.mapInArrow(fill, PIECE_SCHEMA), np.bitwise_or, "u1")
 
     def run(batches):
-        bits = np.unpackbits(merged).astype(bool)
+        bits = np.unpackbits(merged).astype(bool) if len(merged) else np.zeros(1 << BLOOM_BITS, dtype=bool)
         rows = []
         schema = pa.schema([("doc_id", pa.int64()), ("data", pa.binary())])
         for doc_id, text in _texts(batches):
