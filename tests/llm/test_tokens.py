@@ -57,7 +57,7 @@ def test_words_encode_as_whole_texts(texts):
 
 
 def docs_of(spark):
-    rows = [(i * 3, t, "x", 1) for i, t in enumerate(TEXTS)] + [(3, TEXTS[3], "x", 1), (None, "no id", "x", 1)]
+    rows = [(i * 3, t, "x", 1) for i, t in enumerate(TEXTS)] + [(9, TEXTS[3], "x", 1), (None, "no id", "x", 1)]
     return rows, spark.createDataFrame(rows, "doc_id long, text string, ids string, n int")
 
 
