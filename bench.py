@@ -26,7 +26,7 @@ from tradelake import get_session, scratch_dir  # noqa: E402
 from tradelake.functions.json import decode_json  # noqa: E402
 from tradelake.operators import from_exchange, minute_ohlcv, minute_prices, split_trades  # noqa: E402
 from tradelake.plans import ensure_tables, load_batch, write_trades  # noqa: E402
-from tradelake.sources.messages import ensure_parallelism, events_as_messages, lineitem_as_messages  # noqa: E402
+from tradelake.sources.messages import events_as_messages, lineitem_as_messages, spread  # noqa: E402
 
 
 def main() -> None:
@@ -56,8 +56,8 @@ def main() -> None:
     # The test tables are single-row-group files (one scan task); spread the
     # messages over the cores before parsing, as a many-partition topic would be.
     width = int(cpus) * 2
-    li_clean = clean_of(ensure_parallelism(lineitem_as_messages(spark, sf_dir), width))
-    ev_clean = clean_of(ensure_parallelism(events_as_messages(spark, sf_dir), width))
+    li_clean = clean_of(spread(lineitem_as_messages(spark, sf_dir), width))
+    ev_clean = clean_of(spread(events_as_messages(spark, sf_dir), width))
     timed("clean_lineitem", lambda: li_clean.write.format("noop").mode("overwrite").save())
     timed("clean_events", lambda: ev_clean.write.format("noop").mode("overwrite").save())
     timed("minute_prices", lambda: minute_prices(ev_clean).write.format("noop").mode("overwrite").save())

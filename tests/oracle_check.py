@@ -49,7 +49,7 @@ def main() -> None:
     import __spark_entry__ as E
     from tradelake import get_session
 
-    spark = get_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
+    spark = get_session("local[4]", conf={"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:

@@ -1,4 +1,21 @@
+"""Every registered query of the trade pipeline against its DuckDB SQL on sf0.001."""
+
+import duckdb
+import pytest
+from oracle_check import TABLES, canon
+
 import __spark_entry__ as E
+from tradelake import workloads
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
 
 
 def test_entry_runs(spark):
@@ -8,23 +25,12 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(workloads.oracle_sql()) == set(workloads.queries()) <= set(E.queries())
 
 
-def test_small_queries_match_oracle(spark):
-    """A few registered queries against DuckDB on sf0.001 (the full set: tests/oracle_check.py)."""
-    import duckdb
-
-    sf = "/root/testdata/sf0.001"
-    con = duckdb.connect()
-    for t in ("events", "lineitem"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    for name in ("clean_trades", "minute_ohlcv", "parse_ts_iso", "to_double", "reject_counts"):
-        got = E.queries()[name](spark, sf)
-        cols = sorted(got.columns)
-        a = sorted(tuple(str(r[c]) for c in cols) for r in got.collect())
-        res = con.execute(E.oracle_sql()[name])
-        names = [d[0] for d in res.description]
-        b = sorted(tuple(str(dict(zip(names, r))[c]) for c in cols) for r in res.fetchall())
-        assert sorted(names) == cols, name
-        assert a == b, name
+@pytest.mark.parametrize("name", sorted(workloads.queries()))
+def test_query_matches_oracle(spark, con, name):
+    got = workloads.queries()[name](spark, SF)
+    res = con.execute(workloads.oracle_sql()[name])
+    want = canon(res.fetchall(), [d[0] for d in res.description])
+    assert canon([tuple(r) for r in got.collect()], got.columns) == want

@@ -26,13 +26,14 @@ def test_root_prefix():
     assert has_wildcard("a/*") and not has_wildcard("a/b.parquet")
 
 
-def test_ledger_names():
-    assert ledger_id(None, "proj1.ds1.tbl1") == "proj1.ds1.loaded_files"
-    assert ledger_id(None, "ds1.tbl1", current_catalog="myproj") == "myproj.ds1.loaded_files"
-    with pytest.raises(InvalidTableName):
-        resolve_names(None, "invalid")
-    with pytest.raises(InvalidTableName):
-        resolve_names(None, "a.b.c.d")
+def test_names_of_table_and_ledger():
+    names = resolve_names(None, "lake.market.trades", "seen")
+    assert (names.fact, names.ledger_table) == ("`lake`.`market`.`trades`", "`lake`.`market`.`seen`")
+    assert resolve_names(None, "market.trades", current_catalog="spark_catalog").database == "`spark_catalog`.`market`"
+    assert ledger_id(None, "lake.market.trades", ledger="") == "lake.market.loaded_files"
+    for wrong in ("trades", "", ".trades", "market.", "lake..trades", "x.lake.market.trades"):
+        with pytest.raises(InvalidTableName, match="db.table"):
+            resolve_names(None, wrong, current_catalog="c")
 
 
 def test_limit_files_rejects_negative(spark):
@@ -44,3 +45,23 @@ def test_limit_files_rejects_negative(spark):
     assert [r.path for r in limit_files(df, 1).collect()] == ["a"]
     with pytest.raises(ValueError):
         limit_files(df, -1)
+
+
+def test_relative_patterns_match(spark, tmp_dir, monkeypatch):
+    from tradelake.sources.listing import list_files, qualified
+
+    spark.range(3).write.parquet(f"{tmp_dir}/lake/day=1")
+    working = qualified(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    import os
+
+    relative = os.path.relpath(f"{tmp_dir}/lake", working)
+    assert list_files(spark, f"{relative}/*/*.parquet").count() == list_files(spark, f"{tmp_dir}/lake/*.parquet").count() > 0
+
+
+def test_only_a_missing_path_means_no_files(spark, tmp_dir):
+    from tradelake.sources.listing import exists_any
+
+    spark.range(3).write.parquet(f"{tmp_dir}/there")
+    assert exists_any(spark, f"{tmp_dir}/there") and not exists_any(spark, f"{tmp_dir}/missing")
+    with pytest.raises(Exception, match="scheme"):
+        exists_any(spark, "nosuchscheme://bucket/x")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tradelake import scratch_dir
 from tradelake.sources import kafka
 from tradelake.sources.messages import events_as_messages
-from tradelake.streaming import decode_trades, minute_price_runs_stream, stream_trades
+from tradelake.streaming import decode_trades, read_minute_price_runs, stream_minute_price_runs, stream_trades
 from tradelake.operators import minute_price_runs
 
 SF = "/root/testdata/sf0.001"
@@ -41,19 +41,59 @@ def test_stream_rerun_adds_nothing(spark):
     assert spark.read.parquet(lake).count() == batch.count()
 
 
-def test_stream_minutes_match_batch_for_closed_minutes(spark):
-    folder = _messages(spark)
-    trades = decode_trades(spark.readStream.schema("value string").text(folder), raw=True).clean
-    out = scratch_dir(spark, "min")
-    q = (minute_price_runs_stream(trades, "1 minute").writeStream.format("parquet")
-         .option("checkpointLocation", scratch_dir(spark, "ck")).trigger(availableNow=True).start(out))
-    q.awaitTermination()
-    batch_trades = decode_trades(spark.read.text(folder), raw=True).clean
-    max_ms = batch_trades.agg(F.max(F.unix_millis("timestamp"))).first()[0]
-    expected = minute_price_runs(batch_trades).where((F.col("minute") + 1) * 60000 <= max_ms - 60000)
-    got = spark.read.parquet(out)
-    assert got.count() == expected.count() > 0
-    assert got.exceptAll(expected.select(*got.columns)).count() == 0
+def _late_files(spark):
+    """Five text files; the third holds trades an hour older than the second."""
+    folder = scratch_dir(spark, "late")
+    times = [1704067200000, 1704070800000, 1704067230000, 1704070860000, 1704074400000]
+    for i, t in enumerate(times):
+        rows = [(f'{{"s":"btc","p":"{10 + i}","q":"1","T":{t + k}}}',) for k in range(2)]
+        spark.createDataFrame(rows, "value string").coalesce(1).write.mode("append").text(folder)
+    return folder
+
+
+def _one_file_a_batch(spark, folder):
+    return spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(folder)
+
+
+def test_minute_streams_lose_no_late_trade(spark):
+    from tradelake.operators import minute_ohlcv
+    from tradelake.streaming import read_minute_ohlcv, stream_minute_ohlcv
+
+    folder = _late_files(spark)
+    batch = decode_trades(spark.read.text(folder), raw=True).clean
+    trades = decode_trades(_one_file_a_batch(spark, folder), raw=True).clean
+    runs, bars = scratch_dir(spark, "runs"), scratch_dir(spark, "bars")
+    now = {"availableNow": True}
+    stream_minute_price_runs(trades, runs, scratch_dir(spark, "ck"), trigger=now).awaitTermination()
+    stream_minute_ohlcv(trades, bars, scratch_dir(spark, "ck"), trigger=now).awaitTermination()
+    assert spark.read.parquet(runs).select("batch").distinct().count() == 5
+    key = lambda r: tuple(str(v) for v in r)
+    got = read_minute_price_runs(spark, runs)
+    assert got.agg(F.sum("n")).first()[0] == 10
+    want = minute_price_runs(batch).select(*got.columns)
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+    got = read_minute_ohlcv(spark, bars)
+    assert sorted(map(key, got.collect())) == sorted(map(key, minute_ohlcv(batch).select(*got.columns).collect()))
+
+
+def test_a_batch_that_runs_again_overwrites_itself(spark):
+    """The sink's own commit is lost after the write: the batch is planned again under its name."""
+    import os
+
+    folder, out, ck = _late_files(spark), scratch_dir(spark, "again"), scratch_dir(spark, "ck")
+    now = {"availableNow": True}
+
+    def run():
+        trades = decode_trades(_one_file_a_batch(spark, folder), raw=True).clean
+        stream_minute_price_runs(trades, out, ck, trigger=now).awaitTermination()
+
+    run()
+    commits = os.path.join(ck.removeprefix("file:"), "commits")
+    for name in ("4", ".4.crc"):
+        if os.path.exists(os.path.join(commits, name)):
+            os.remove(os.path.join(commits, name))
+    run()
+    assert read_minute_price_runs(spark, out).agg(F.sum("n")).first()[0] == 10
 
 
 def test_kafka_options():
@@ -91,35 +131,51 @@ def test_stream_rejects_match_batch(spark):
     assert got == want and got["malformed_json"] == 1 and got["not_an_object"] == 1
 
 
-def test_ohlcv_stream_matches_batch_for_closed_minutes(spark):
-    from tradelake.operators import minute_ohlcv
-    from tradelake.streaming import minute_ohlcv_stream
+def test_dedupe_stream_keeps_late_rows(spark):
+    import pytest
 
-    folder = _messages(spark)
-    out = scratch_dir(spark, "ohlcv")
-    trades = decode_trades(spark.readStream.schema("value string").text(folder), raw=True).clean
-    (minute_ohlcv_stream(trades, "1 minute").writeStream.format("parquet")
-     .option("checkpointLocation", scratch_dir(spark, "ck")).trigger(availableNow=True).start(out).awaitTermination())
-    batch_trades = decode_trades(spark.read.text(folder), raw=True).clean
-    max_ms = batch_trades.agg(F.max(F.unix_millis("timestamp"))).first()[0]
-    cols = ["minute", "symbol", "n_trades", "open", "high", "low", "close"]
-    expected = minute_ohlcv(batch_trades).where((F.col("minute") + 1) * 60000 <= max_ms - 60000).select(*cols)
-    got = spark.read.parquet(out).select(*cols)
-    assert got.count() == expected.count() > 0
-    assert got.exceptAll(expected).count() == 0
-
-
-def test_dedupe_stream_and_new_rows(spark):
-    from tradelake.operators.dedupe import dedupe_stream, dedupe_trades, new_rows
+    from tradelake.operators.dedupe import dedupe_trades, new_rows
+    from tradelake.operators.trades import FIELDS
+    from tradelake.streaming import dedupe_stream, deduped
 
-    folder = scratch_dir(spark, "msgs")
-    msgs = events_as_messages(spark, SF).select("value")
-    msgs.unionByName(msgs).write.text(folder)  # every message delivered twice
+    folder = _late_files(spark)
+    spark.read.text(folder).coalesce(1).write.mode("append").text(folder)  # every message again
     out = scratch_dir(spark, "dedupe")
-    trades = decode_trades(spark.readStream.schema("value string").text(folder), raw=True).clean
-    (dedupe_stream(trades, "10 minutes").writeStream.format("parquet")
-     .option("checkpointLocation", scratch_dir(spark, "ck")).trigger(availableNow=True).start(out).awaitTermination())
+    trades = decode_trades(_one_file_a_batch(spark, folder), raw=True).clean
+    dedupe_stream(trades, out, scratch_dir(spark, "ck"), FIELDS, {"availableNow": True}).awaitTermination()
     batch = decode_trades(spark.read.text(folder), raw=True).clean
-    distinct = dedupe_trades(batch)
-    assert spark.read.parquet(out).count() == distinct.count() == batch.count() // 2
-    assert new_rows(batch, distinct).count() == 0
+    distinct = dedupe_trades(batch, FIELDS)
+    assert deduped(spark, out).count() == distinct.count() == batch.count() // 2 == 10
+    assert new_rows(batch, distinct, FIELDS).count() == 0
+    with pytest.raises(ValueError):
+        dedupe_stream(trades, out, "x", ("symbol",))
+
+
+def _lake(spark, day, rows):
+    lake = scratch_dir(spark, "lake")
+    stamp = f"2025-11-{day:02d} 00:00:00"
+    spark.range(rows).selectExpr("'A' symbol", "double(id + 1) price", "1d quantity", f"timestamp'{stamp}' timestamp").coalesce(1).write.parquet(lake)
+    return lake
+
+
+def test_load_streams_share_a_table(spark):
+    from tradelake.plans import ensure_tables, fact_view, ledger_view, load_batch
+    from tradelake.streaming import load_stream
+
+    table = "t_streams.trades"
+    ensure_tables(spark, table, location=scratch_dir(spark, "wh"))
+    one, two, three = (_lake(spark, 5, 10) for _ in range(3))
+    load_batch(spark, one + "/*.parquet", table).collect()
+    now = {"availableNow": True}
+    for lake in (one, two, three):
+        load_stream(spark, lake, table, scratch_dir(spark, "ck"), trigger=now).awaitTermination()
+    load_stream(spark, two, table, scratch_dir(spark, "ck"), trigger=now).awaitTermination()  # a fresh checkpoint
+    assert fact_view(spark, table).count() == 30
+    assert ledger_view(spark, table).count() == 3
+    assert load_batch(spark, three + "/*.parquet", table).first().files_loaded == 0
+
+
+def test_repeated_json_keys_take_the_last_value(spark):
+    rows = [('{"s":"a","p":"1","p":"2","q":"1","T":1704067200000}',)]
+    split = decode_trades(spark.createDataFrame(rows, "value string"), raw=True)
+    assert [r.price for r in split.clean.collect()] == [2.0] and split.rejects.count() == 0

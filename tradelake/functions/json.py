@@ -5,30 +5,39 @@ decoded into VARIANT with ``try_parse_json`` rather than ``from_json`` with a
 fixed schema, because the cleaning rules depend on the JSON type of each field:
 ``1704067200000`` is a valid timestamp but ``"1704067200000"`` is not, and a
 quoted price is accepted while a list is not. Malformed text decodes to NULL and
-becomes a reject row, never a failed job.
+becomes a reject row, never a failed job. Of a repeated key the last value counts
+(``spark.sql.variant.allowDuplicateKeys``, set by ``ensure_utc``).
+
+Both directions take a codec: a function from a column to a column, text to VARIANT
+when decoding and struct to text when encoding. JSON is the default.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def decode_json(df: DataFrame, col: str = "value", out: str = "msg") -> DataFrame:
-    """Add ``out`` as the VARIANT form of the JSON text in ``col`` (NULL if malformed)."""
+Codec = Callable[[Column], Column]
+
+
+def decode_json(df: DataFrame, col: str = "value", out: str = "msg", codec: Codec = F.try_parse_json) -> DataFrame:
+    """Add ``out`` as the VARIANT form of the text in ``col`` (NULL if malformed)."""
     text = F.col(col)
     if dict(df.dtypes).get(col) == "binary":
         text = text.cast("string")
-    return df.withColumn(out, F.try_parse_json(text))
+    return df.withColumn(out, codec(text))
 
 
-def encode_json(df: DataFrame, cols: list[str] | None = None, out: str = "value") -> DataFrame:
-    """One JSON object per row, in a single ``out`` column (what a Kafka sink wants).
+def encode_json(df: DataFrame, cols: list[str] | None = None, out: str = "value", codec: Codec = F.to_json) -> DataFrame:
+    """One message (a JSON object by default) per row, in a single ``out`` column (what a Kafka sink wants).
 
     Note: ``to_json`` writes NaN and Infinity as quoted strings.
     """
     cols = cols or df.columns
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias(out))
+    return df.select(codec(F.struct(*[F.col(c) for c in cols])).alias(out))
 
 
 def field(msg: Column | str, key: str) -> Column:

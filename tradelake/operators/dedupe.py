@@ -1,26 +1,23 @@
 """Row de-duplication (S26, T6): recommended by the reference's docs, not built there.
 
 Trades carry no exchange id, so two real trades with the same symbol, price,
-quantity and millisecond look identical; the key is therefore an argument.
+quantity and millisecond look identical; the caller must name the key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .trades import FIELDS
 
-
-def dedupe_trades(trades: DataFrame, keys: tuple[str, ...] = FIELDS) -> DataFrame:
+def dedupe_trades(trades: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """One row per key (a shuffle on the key, with map-side partial de-duplication)."""
     return trades.dropDuplicates(list(keys))
 
 
-def new_rows(staged: DataFrame, target: DataFrame, keys: tuple[str, ...] = FIELDS) -> DataFrame:
+def new_rows(staged: DataFrame, target: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Staged rows whose key is not in the target yet (the MERGE insert branch)."""
-    return dedupe_trades(staged, keys).join(target.select(*keys).dropDuplicates(list(keys)), list(keys), "left_anti")
-
-
-def dedupe_stream(trades: DataFrame, delay: str = "10 minutes", keys: tuple[str, ...] = FIELDS) -> DataFrame:
-    """Streaming de-duplication; state is kept for ``delay`` past each key's event time."""
-    return trades.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(list(keys))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}"))
+    return dedupe_trades(staged, keys).alias("s").join(target.select(*keys).alias("t"), same, "left_anti")

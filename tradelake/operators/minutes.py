@@ -8,10 +8,11 @@ steps that keep every group bounded:
 1. ``minute_price_runs``: ``(minute, symbol, price) -> n`` with map-side partial
    aggregation. Repeated ticks collapse before the shuffle, and a hot minute is
    spread over its distinct prices.
-2. ``minute_prices``: each minute's runs go to ``ceil(n_prices / max_list)``
-   hash chunks of price, each chunk a price-sorted array of ``(price, n)`` runs
-   (the run-length form of the sorted price list). A normal minute is one chunk
-   (``chunk = 0``); a hot minute is split instead of collected whole.
+2. ``minute_prices``: each minute's runs are dealt into ``chunks`` price-sorted
+   arrays of ``(price, n)`` runs by a hash of the price (the run-length form of the
+   sorted price list). The number of chunks is a constant of the call, whatever the
+   size of a minute; a hot minute's list is spread over that many tasks.
+   ``minute_totals`` has the sums over a whole minute.
 
 ``expand_runs`` turns a chunk's runs back into the flat sorted list when it is
 known to be small. ``minute_ohlcv`` (open/high/low/close, volume, VWAP) is the
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timestamps import MINUTE_MS, minute_bucket
 
-DEFAULT_MAX_LIST = 100_000
+DEFAULT_CHUNKS = 16
 
 
 def with_minute(trades: DataFrame, ts: str = "timestamp", out: str = "minute") -> DataFrame:
@@ -38,37 +39,24 @@ def minute_price_runs(trades: DataFrame, by: tuple[str, ...] = ("symbol",)) -> D
     return with_minute(trades).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def minute_prices(
-    trades: DataFrame, by: tuple[str, ...] = ("symbol",), max_list: int = DEFAULT_MAX_LIST
-) -> DataFrame:
-    """``minute, *by, chunk, minute_trades, n_trades, n_prices, prices``.
+def minute_totals(trades: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """``minute, *by, n_trades``."""
+    return with_minute(trades).groupBy("minute", *by).agg(F.count(F.lit(1)).alias("n_trades"))
 
-    ``minute_trades`` counts the whole minute; ``n_trades`` / ``n_prices`` the chunk.
 
-    ``prices`` is ``array<struct<price double, n bigint>>`` sorted by price. A
-    minute with more than ``max_list`` distinct prices is split into several
-    chunks by a hash of the price; every chunk is still sorted, and the union
-    of a minute's chunks is the whole sorted list.
+def minute_prices(trades: DataFrame, by: tuple[str, ...] = ("symbol",), chunks: int = DEFAULT_CHUNKS) -> DataFrame:
+    """``minute, *by, chunk, n_trades, n_prices, prices``, all of the chunk.
+
+    ``prices`` is ``array<struct<price double, n bigint>>`` sorted by price; the union
+    of a minute's chunks is its whole list. Chunks without prices give no row.
     """
-    if max_list < 1:
-        raise ValueError("max_list must be positive")
-    group = ["minute", *by]
-    runs = minute_price_runs(trades, by)
-    # The per-minute totals read the same columns of ``runs`` as the chunked side,
-    # so both sides share one exchange (Spark reuses it instead of recomputing).
-    sizes = runs.groupBy(*group).agg(F.count(F.lit(1)).alias("_n_prices"), F.sum("n").alias("minute_trades"))
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n_prices") / F.lit(max_list)))
-    chunked = runs.join(sizes, group).withColumn("chunk", F.pmod(F.xxhash64("price"), n_chunks).cast("int"))
-    # Repartition on the chunk too: the join output is already clustered on the
-    # minute, and grouping would otherwise reuse that and keep a hot minute whole.
-    return (
-        chunked.repartition(*[F.col(c) for c in group], F.col("chunk"))
-        .groupBy(*group, "chunk", "minute_trades")
-        .agg(
-            F.sum("n").alias("n_trades"),
-            F.count(F.lit(1)).alias("n_prices"),
-            F.sort_array(F.collect_list(F.struct(F.col("price"), F.col("n")))).alias("prices"),
-        )
+    if chunks < 1:
+        raise ValueError("chunks must be positive")
+    dealt = minute_price_runs(trades, by).withColumn("chunk", F.pmod(F.xxhash64("price"), F.lit(chunks)).cast("int"))
+    return dealt.groupBy("minute", *by, "chunk").agg(
+        F.sum("n").alias("n_trades"),
+        F.count(F.lit(1)).alias("n_prices"),
+        F.sort_array(F.collect_list(F.struct(F.col("price"), F.col("n")))).alias("prices"),
     )
 
 
@@ -78,24 +66,37 @@ def expand_runs(prices: Column | str) -> Column:
     return F.flatten(F.transform(c, lambda r: F.array_repeat(r["price"], r["n"].cast("int"))))
 
 
-def minute_ohlcv(trades: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
-    """``minute, *by, window_start, n_trades, open, high, low, close, volume, vwap``.
+def minute_bars(trades: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """``minute, *by, n_trades, first_at, open, high, low, last_at, close, volume, turnover``.
 
-    Open is the earliest trade's price and close the latest's; equal timestamps
-    are ordered by price, then quantity, so the result is deterministic.
+    Trades of one instant are summed up first: the open is the smallest price of the
+    first instant and the close the largest of the last one, so both steps are hash
+    aggregates over plain numbers (an order by a struct would sort all trades).
     """
-    order = F.struct(F.col("timestamp"), F.col("price"), F.col("quantity"))
-    return (
-        with_minute(trades)
-        .groupBy("minute", *by)
-        .agg(
-            F.count(F.lit(1)).alias("n_trades"),
-            F.min_by("price", order).alias("open"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.max_by("price", order).alias("close"),
-            F.sum("quantity").alias("volume"),
-            (F.sum(F.col("price") * F.col("quantity")) / F.sum("quantity")).alias("vwap"),
-        )
-        .withColumn("window_start", F.timestamp_millis(F.col("minute") * F.lit(MINUTE_MS)))
+    instants = with_minute(trades).groupBy("minute", *by, "timestamp").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("price").alias("low"),
+        F.max("price").alias("high"),
+        F.sum("quantity").alias("volume"),
+        F.sum(F.col("price") * F.col("quantity")).alias("turnover"),
+    )
+    return instants.groupBy("minute", *by).agg(
+        F.sum("n").alias("n_trades"),
+        F.min("timestamp").alias("first_at"),
+        F.min_by("low", "timestamp").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max("timestamp").alias("last_at"),
+        F.max_by("high", "timestamp").alias("close"),
+        F.sum("volume").alias("volume"),
+        F.sum("turnover").alias("turnover"),
+    )
+
+
+def minute_ohlcv(trades: DataFrame, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """``minute, *by, n_trades, open, high, low, close, volume, vwap, window_start``."""
+    return minute_bars(trades, by).select(
+        "minute", *by, "n_trades", "open", "high", "low", "close", "volume",
+        (F.col("turnover") / F.col("volume")).alias("vwap"),
+        F.timestamp_millis(F.col("minute") * F.lit(MINUTE_MS)).alias("window_start"),
     )

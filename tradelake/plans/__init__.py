@@ -1,5 +1,6 @@
 """Batch plans: lake writer, tables and ledger, incremental loader."""
 
+from .compact import compact_days
 from .loader import load_batch, recover
 from .tables import (
     TableNames,
@@ -10,11 +11,12 @@ from .tables import (
     ledger_id,
     ledger_view,
     resolve_names,
+    rows_to_add,
     trades_between,
 )
 from .writer import write_trades
 
 __all__ = [
-    "load_batch", "recover", "TableNames", "already_loaded", "ensure_tables", "fact_view", "is_loaded",
+    "compact_days", "rows_to_add", "load_batch", "recover", "TableNames", "already_loaded", "ensure_tables", "fact_view", "is_loaded",
     "ledger_id", "ledger_view", "resolve_names", "trades_between", "write_trades",
 ]

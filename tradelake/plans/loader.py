@@ -5,29 +5,39 @@ Per run:
 1. resolve the table and its ledger (S24); the ledger must exist (S19) unless
    ``create=True``;
 2. finish loads a previous run left half done (ledger ``pending`` rows without
-   ``loaded`` rows): they are re-run with their own ``load_id`` and file list,
-   which overwrites exactly the partitions they may have written;
+   ``loaded`` or ``failed`` rows): they are re-run with their own ``load_id`` and
+   file list, which overwrites exactly the partitions they may have written. If any
+   file of such a load cannot be read (any more), its partitions are left as they
+   are, the load stays pending, and the file is reported;
 3. list files matching the pattern (S7-S10), optionally limit (L1), and drop
-   files already loaded with a left anti join on the ledger (J1);
+   files already loaded, or held by a load that is still pending, with left anti
+   joins on the ledger (J1);
 4. read each pending file's footer (distributed) to group files by physical
-   layout; unreadable files are reported as failed, are not recorded, and are
-   tried again next run (S13);
-5. per chunk of at most ``max_files_per_load`` files: record ``pending`` rows,
-   write the rows with dynamic partition overwrite on ``(trade_date, load_id)``,
-   record ``loaded`` rows (S12, S17, S18).
+   layout; unreadable files are reported as failed, are not recorded as loaded, and
+   are tried again next run (S13);
+5. record ``pending`` rows, write the rows with dynamic partition overwrite on
+   ``(trade_date, load_id)``, record ``loaded`` rows (S12, S17, S18). If the write
+   fails, the files' data is read in a distributed check; damaged files are reported
+   and left out, and the rest is written under the same ``load_id``.
+
+All new files are one load and become visible together. ``max_files_per_load`` splits
+them into several loads of about that many files, each visible on its own: a later one
+may fail after an earlier one is in.
 
 A crash between any two steps leaves either nothing visible (Spark's commit
 protocol), or a pending load that the next run completes without duplicating
 rows. One writer per table is assumed.
 
 ``load_batch`` returns one metrics row (S25): files found / skipped / loaded /
-failed, rows loaded, number of loads, recovered loads, and a five-path preview.
+failed, rows loaded, number of loads, recovered loads, a five-path preview, and the
+paths of failed files.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import math
+import re
 import uuid
 from contextlib import contextmanager
 
@@ -37,8 +47,9 @@ from pyspark.sql import functions as F
 from ..functions.timestamps import trade_date
 from ..operators.files import limit_files, pending_files
 from ..session import ensure_utc, shared_root
-from ..sources.listing import list_files
-from ..sources.trade_files import classify_files, read_classified
+from ..sources.listing import list_files, preview
+from ..sources.trade_files import classify_files, damaged_files, read_classified, unparseable_files
+from .compact import settle
 from .tables import (
     DEFAULT_LEDGER,
     FACT_COLUMNS,
@@ -51,22 +62,40 @@ from .tables import (
 
 METRICS_SCHEMA = (
     "files_found bigint, files_skipped bigint, files_loaded bigint, files_failed bigint, "
-    "rows_loaded bigint, loads bigint, recovered_loads bigint, preview array<string>"
+    "rows_loaded bigint, loads bigint, recovered_loads bigint, preview array<string>, failed array<string>"
 )
-DEFAULT_MAX_FILES_PER_LOAD = 50_000
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """insertInto ignores the writer option; the session setting is needed for the
-    (eager) write and restored right after."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+def _setting(spark: SparkSession, values: dict[str, str]):
+    """Session settings for an (eager) write, restored right after."""
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def dynamic_overwrite(spark: SparkSession, input_bytes: int | None = None):
+    """insertInto ignores the writer option, so the session setting is needed.
+
+    ``input_bytes`` lowers the advisory task size so that a small load over many days
+    still uses all cores (its cost is opening files, one after another in a task)."""
+    values = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+    if input_bytes is not None:
+        share = input_bytes // (4 * spark.sparkContext.defaultParallelism)
+        values[ADVISORY] = str(min(_bytes(spark.conf.get(ADVISORY)), max(64 << 10, share)))
+    return _setting(spark, values)
+
+
+def _bytes(text: str) -> int:
+    units = {"b": 0, "k": 10, "m": 20, "g": 30}
+    found = re.fullmatch(r"(\d+)\s*([bkmg]?)b?", text.strip().lower())
+    return int(found[1]) << units[found[2] or "b"] if found else 64 << 20
 
 
 def _record(spark: SparkSession, names: TableNames, files: DataFrame, load_id: str, status: str,
@@ -83,14 +112,14 @@ def _record(spark: SparkSession, names: TableNames, files: DataFrame, load_id: s
     )
 
 
-def _write_rows(spark: SparkSession, names: TableNames, classified_rows, load_id: str) -> tuple[int, list]:
-    """Read classified files and overwrite their ``(trade_date, load_id)`` partitions."""
-    read = read_classified(spark, classified_rows)
-    if read.trades is None:
-        return 0, read.failed
-    obs = Observation(f"load_{load_id.replace('-', '_')}")
+def _insert(spark: SparkSession, names: TableNames, classified, load_id: str, input_bytes: int | None) -> int:
+    """Overwrite the load's ``(trade_date, load_id)`` partitions with the files' rows."""
+    trades = read_classified(spark, classified).trades
+    if trades is None:
+        return 0
+    obs = Observation(f"load_{uuid.uuid4().hex}")
     rows = (
-        read.trades.select(*FACT_COLUMNS)
+        trades.select(*FACT_COLUMNS)
         .withColumn("trade_date", trade_date("timestamp"))
         .withColumn("load_id", F.lit(load_id))
         .observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -98,30 +127,61 @@ def _write_rows(spark: SparkSession, names: TableNames, classified_rows, load_id
         # tasks and packs small days together, so files stay few and sized.
         .hint("rebalance", "trade_date")
     )
-    with _dynamic_overwrite(spark):
+    with dynamic_overwrite(spark, input_bytes):
         rows.write.insertInto(names.fact, overwrite=True)
-    return int(obs.get["rows"]), read.failed
+    return int(obs.get["rows"])
+
+
+def _without(classified, failed: list[tuple[str, str]]):
+    gone = {p for p, _ in failed}
+    return [r for r in classified if r.path not in gone]
+
 
+def _write_rows(
+    spark: SparkSession, names: TableNames, classified, load_id: str, input_bytes: int | None = None
+) -> tuple[int, list[tuple[str, str]]]:
+    """Rows written, and the ``(path, error)`` of files left out because they cannot be read."""
+    failed = unparseable_files(spark, classified)
+    classified = _without(classified, failed)
+    try:
+        return _insert(spark, names, classified, load_id, input_bytes), failed
+    except Exception:
+        damaged = damaged_files(spark, [r.path for r in classified])
+        if not damaged:
+            raise
+    failed += damaged
+    return _insert(spark, names, _without(classified, damaged), load_id, input_bytes), failed
+
+
+def open_loads(ledger: DataFrame) -> DataFrame:
+    """``load_id`` of loads that were begun and neither finished nor given up."""
+    ended = ledger.where(F.col("status").isin("loaded", "failed")).select("load_id")
+    return ledger.where(F.col("status") == "pending").join(ended, "load_id", "left_anti").select("load_id").distinct()
 
-def recover(spark: SparkSession, names: TableNames) -> int:
-    """Complete loads that recorded ``pending`` rows but no ``loaded`` rows."""
+
+def recover(spark: SparkSession, names: TableNames) -> tuple[int, list[tuple[str, str]]]:
+    """Complete loads that recorded ``pending`` rows only: how many, and the files that stand in the way of others."""
     led = ledger_rows(spark, names)
-    done = led.where(F.col("status") == "loaded").select("load_id").distinct()
-    open_ids = [
-        r.load_id
-        for r in led.where(F.col("status") == "pending").select("load_id").distinct()
-        .join(done, "load_id", "left_anti").collect()
-    ]
-    for load_id in sorted(open_ids):
-        files = led.where((F.col("status") == "pending") & (F.col("load_id") == load_id)).select(
-            F.col("file_name").alias("path"), F.col("loaded_at")
-        )
-        paths = [r.path for r in files.select("path").distinct().collect()]
+    done, failed = 0, []
+    for load_id in sorted(r.load_id for r in open_loads(led).collect()):
+        files = led.where((F.col("status") == "pending") & (F.col("load_id") == load_id))
         at = files.agg(F.max("loaded_at")).first()[0]
-        listing = spark.createDataFrame([(p,) for p in paths], "path string")
-        _write_rows(spark, names, classify_files(listing).collect(), load_id)
-        _record(spark, names, spark.createDataFrame([(p,) for p in paths], "path string"), load_id, "loaded", at)
-    return len(open_ids)
+        listing = files.select(F.col("file_name").alias("path")).distinct().checkpoint(eager=True)
+        classified = classify_files(listing).collect()
+        bad = [(r.path, r.error) for r in classified if r.error] or unparseable_files(spark, classified)
+        if not bad:
+            try:
+                _insert(spark, names, classified, load_id, None)
+            except Exception:
+                bad = damaged_files(spark, [r.path for r in classified])
+                if not bad:
+                    raise
+        if bad:  # what the load may have written stays, and so does the load
+            failed += bad
+            continue
+        _record(spark, names, listing, load_id, "loaded", at)
+        done += 1
+    return done, failed
 
 
 def load_batch(
@@ -134,7 +194,7 @@ def load_batch(
     create: bool = False,
     ledger_name: str = DEFAULT_LEDGER,
     run_ts: _dt.datetime | None = None,
-    max_files_per_load: int = DEFAULT_MAX_FILES_PER_LOAD,
+    max_files_per_load: int | None = None,
 ) -> DataFrame:
     """Load files matching ``pattern`` that the ledger does not list yet; return metrics.
 
@@ -147,55 +207,55 @@ def load_batch(
     names = ensure_tables(spark, table, ledger_name=ledger_name) if create else resolve_names(spark, table, ledger_name)
     require_ledger(spark, names)
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc)
-    recovered = recover(spark, names)
+    settle(spark, names)
+    recovered, failed = recover(spark, names)
 
     # The listing is used several times below (counts, preview, anti join): cut it
     # once into the shared checkpoint folder instead of re-scanning file metadata.
     listed = list_files(spark, pattern).checkpoint(eager=True)
     found = listed.count()
     considered = listed if limit_after_filter else limit_files(listed, limit)
-    pending = pending_files(considered, ledger_rows(spark, names))
+    led = ledger_rows(spark, names)
+    held = led.where(F.col("status") == "pending").join(open_loads(led), "load_id", "left_semi").select(F.col("file_name").alias("path"))
+    pending = pending_files(considered, led).join(held, "path", "left_anti")
     n_considered = considered.count() if limit and not limit_after_filter else found
     n_unloaded = None
     if limit_after_filter and limit:
         n_unloaded = pending.count()  # before any ledger write of this run
         pending = limit_files(pending, limit)
-    preview_paths = [r.path for r in considered.select("path").orderBy("path").limit(5).collect()]
+    preview_paths = preview(considered)
 
     # Footer classification runs once (a Python task per partition); the result is
-    # cut from its lineage so that later chunks do not re-read footers.
+    # cut from its lineage so that later steps do not re-read footers.
+    pending = pending.select("path", "length").checkpoint(eager=True)
+    input_bytes = pending.agg(F.sum("length")).first()[0] or 0
     classified = classify_files(pending).checkpoint(eager=True)
     n_pending = classified.count()
-    chunks = max(1, math.ceil(n_pending / max(1, max_files_per_load)))
+    chunks = max(1, math.ceil(n_pending / max(1, max_files_per_load))) if max_files_per_load else 1
     classified = classified.withColumn("chunk", F.pmod(F.xxhash64("path"), F.lit(chunks)))
-    failed_total = classified.where(F.col("error").isNotNull()).count()
+    failed += [(r.path, r.error) for r in classified.where(F.col("error").isNotNull()).collect()]
 
     rows_total = loaded_files = loads = 0
     stamp = run_ts.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     for c in range(chunks if n_pending else 0):
         good = classified.where((F.col("chunk") == c) & F.col("error").isNull())
+        # One entry a file: a scan of chosen files is planned from their paths.
         chunk_rows = good.select("path", "signature", "error").collect()
-        paths = [r.path for r in chunk_rows]
-        if not paths:
+        if not chunk_rows:
             continue
         load_id = f"{stamp}-{c:05d}"
         _record(spark, names, good.select("path"), load_id, "pending", run_ts)
-        rows, failed = _write_rows(spark, names, chunk_rows, load_id)
-        failed_paths = {p for p, _ in failed}
-        ok = good.where(~F.col("path").isin(list(failed_paths))) if failed_paths else good
-        _record(spark, names, ok.select("path"), load_id, "loaded", run_ts)
+        rows, left_out = _write_rows(spark, names, chunk_rows, load_id, input_bytes)
+        if left_out:
+            bad = spark.createDataFrame(left_out, "path string, error string").select("path")
+            _record(spark, names, bad, load_id, "failed", run_ts)
+            good = good.join(bad, "path", "left_anti")
+        _record(spark, names, good.select("path"), load_id, "loaded", run_ts)
         rows_total += rows
-        loaded_files += len(paths) - len(failed_paths)
-        failed_total += len(failed_paths)
+        loaded_files += len(chunk_rows) - len(left_out)
+        failed += left_out
         loads += 1
 
     skipped = n_considered - (n_pending if n_unloaded is None else n_unloaded)
-    metrics = [(found, skipped, loaded_files, failed_total, rows_total, loads, recovered, preview_paths)]
+    metrics = [(found, skipped, loaded_files, len(failed), rows_total, loads, recovered, preview_paths, sorted(p for p, _ in failed))]
     return spark.createDataFrame(metrics, METRICS_SCHEMA)
-
-
-def failed_files(spark: SparkSession, pattern: str, table: str, ledger_name: str = DEFAULT_LEDGER) -> DataFrame:
-    """Pending files whose footer cannot be read or lacks needed columns (``path, error``)."""
-    names = resolve_names(spark, table, ledger_name)
-    pending = pending_files(list_files(spark, pattern), ledger_rows(spark, names))
-    return classify_files(pending).where(F.col("error").isNotNull()).select("path", "error")

@@ -6,7 +6,8 @@ reference's day partitioning on ``timestamp``) and ``load_id STRING`` (the load
 that wrote the rows; a re-run of that load overwrites exactly its partitions).
 
 Ledger: ``file_name STRING, loaded_at TIMESTAMP, load_id STRING, status STRING``.
-Status ``pending`` is written before a load, ``loaded`` after it. Its public view
+Status ``pending`` is written before a load, ``loaded`` after it (``failed`` for files
+that could not be read); compaction has entries of its own (``plans.compact``). Its public view
 (``ledger_view``) is the reference's ``(file_name, loaded_at)`` of loaded files.
 NOT NULL is not enforced on Parquet tables, so the loader only ever writes
 non-null names.
@@ -19,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dedupe import new_rows
+
 DEFAULT_LEDGER = "loaded_files"
 FACT_COLUMNS = ("symbol", "price", "quantity", "timestamp")
 FACT_DDL = "`symbol` STRING, `price` DOUBLE, `quantity` DOUBLE, `timestamp` TIMESTAMP, `trade_date` DATE, `load_id` STRING"
@@ -64,7 +67,7 @@ def resolve_names(spark: SparkSession | None, table: str, ledger: str = DEFAULT_
         catalog = current_catalog or (spark.catalog.currentCatalog() if spark is not None else "spark_catalog")
         namespace, name = parts
     else:
-        raise InvalidTableName(f"Invalid destination table id: {table}")
+        raise InvalidTableName(f"{table!r} is neither db.table nor catalog.db.table")
     return TableNames(catalog, namespace, name, ledger or DEFAULT_LEDGER)
 
 
@@ -81,12 +84,14 @@ def _exists(spark: SparkSession, names: TableNames, name: str) -> bool:
 def ensure_tables(spark: SparkSession, table: str, location: str | None = None, recreate: bool = False,
                   ledger: bool = True, ledger_name: str = DEFAULT_LEDGER) -> TableNames:
     """Create namespace, fact table and (optionally) ledger if missing.
-    ``recreate`` drops the fact table first (S22); the ledger is kept unless dropped by hand."""
+    ``recreate`` drops the fact table first (S22), and the ledger with it: its files are
+    no longer loaded, so the next load must read them again."""
     names = resolve_names(spark, table, ledger_name)
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {names.database}{where}")
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {names.fact}")
+        spark.sql(f"DROP TABLE IF EXISTS {names.ledger_table}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {names.fact} ({FACT_DDL}) USING parquet PARTITIONED BY (trade_date, load_id)"
     )
@@ -99,8 +104,8 @@ def require_ledger(spark: SparkSession, names: TableNames) -> None:
     """The ledger must exist, else stop with advice."""
     if not _exists(spark, names, names.ledger):
         raise LedgerMissing(
-            f"Tracking table {names.catalog}.{names.namespace}.{names.ledger} not found. "
-            "Create it with ensure_tables(..., ledger=True), then re-run the load."
+            f"no file ledger at {names.catalog}.{names.namespace}.{names.ledger}: "
+            "ensure_tables(..., ledger=True) makes one"
         )
 
 
@@ -128,10 +133,30 @@ def is_loaded(spark: SparkSession, table: str, file_name: str, ledger_name: str
     return not ledger_view(spark, table, ledger_name).where(F.col("file_name") == file_name).limit(1).isEmpty()
 
 
+def fact_rows(spark: SparkSession, names: TableNames) -> DataFrame:
+    """The fact table without the partitions that an unfinished compaction holds twice
+    (a few rows of the ledger; normally none, and the plain table is read)."""
+    from .compact import hidden_partitions
+
+    rows = spark.table(names.fact)
+    for day, load_id in hidden_partitions(spark, names):
+        rows = rows.where(~((F.col("trade_date") == F.lit(day).cast("date")) & (F.col("load_id") == load_id)))
+    return rows
+
+
 def fact_view(spark: SparkSession, table: str) -> DataFrame:
     """The four public columns of the fact table."""
-    names = resolve_names(spark, table)
-    return spark.table(names.fact).select(*FACT_COLUMNS)
+    return fact_rows(spark, resolve_names(spark, table)).select(*FACT_COLUMNS)
+
+
+def rows_to_add(spark: SparkSession, staged: DataFrame, table: str, keys: tuple[str, ...]) -> DataFrame:
+    """Staged trades whose key the fact table does not hold. ``keys`` must hold
+    ``timestamp``: only the partitions of the staged days are read."""
+    if "timestamp" not in keys:
+        raise ValueError("keys must hold timestamp")
+    low, high = staged.agg(F.min(F.to_date("timestamp")), F.max(F.to_date("timestamp"))).first()
+    target = fact_rows(spark, resolve_names(spark, table)).where(F.col("trade_date").between(F.lit(low), F.lit(high)))
+    return new_rows(staged, target.select(*FACT_COLUMNS), keys)
 
 
 def trades_between(spark: SparkSession, table: str, start, end) -> DataFrame:
@@ -143,7 +168,7 @@ def trades_between(spark: SparkSession, table: str, start, end) -> DataFrame:
     names = resolve_names(spark, table)
     lo, hi = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     return (
-        spark.table(names.fact)
+        fact_rows(spark, names)
         .where(F.col("trade_date").between(F.to_date(lo), F.to_date(hi)))
         .where((F.col("timestamp") >= lo) & (F.col("timestamp") < hi))
         .select(*FACT_COLUMNS)

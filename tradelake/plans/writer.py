@@ -37,9 +37,11 @@ def write_trades(
     (processing time when None; a column such as ``col("timestamp")`` for backfills)."""
     if batch_size is not None and int(batch_size) <= 0:
         raise ValueError("batch_size must be a positive integer")
-    # Rebalance on the folder columns: AQE splits a big folder (all of today's
-    # trades) into advisory-size tasks and packs small folders together.
-    staged = with_lake_partitions(df, as_of).hint("rebalance", *LAKE_PARTITIONS)
+    # AQE splits a big folder into advisory-size tasks and packs small folders together.
+    # With one instant for all rows the folder columns are constants, which would send
+    # every row to one hash bucket: deal such rows out evenly instead.
+    folders = LAKE_PARTITIONS if isinstance(as_of, Column) else ()
+    staged = with_lake_partitions(df, as_of).hint("rebalance", *folders)
     writer = staged.write.mode(mode).partitionBy(*LAKE_PARTITIONS)
     if batch_size:
         writer = writer.option("maxRecordsPerFile", int(batch_size))

@@ -1,6 +1,8 @@
 """Session helpers: a UTC session, and the shared folder for scratch output.
 
-Every timestamp rule in this package assumes ``spark.sql.session.timeZone=UTC``.
+Every timestamp rule in this package assumes ``spark.sql.session.timeZone=UTC``, a
+repeated key of a JSON message means its last value, and INT64 NANOS timestamps are
+read as BIGINT and converted here; ``REQUIRED_CONF`` holds these three settings.
 Scratch output (lineage cuts, per-call output folders in checks) lives under the
 folder the cluster names in ``spark.checkpoint.dir``; only a local session with no
 such setting gets a fresh temporary folder.
@@ -13,8 +15,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-DEFAULT_CONF = {
+REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
+}
+DEFAULT_CONF = {
+    **REQUIRED_CONF,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -34,9 +41,10 @@ def get_session(master: str | None = None, app_name: str = "tradelake", conf: di
 
 
 def ensure_utc(spark: SparkSession) -> SparkSession:
-    """All rules here read and write instants in UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Give a session made elsewhere the settings that all rules here rely on."""
+    for key, value in REQUIRED_CONF.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 

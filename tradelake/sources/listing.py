@@ -8,16 +8,35 @@ Spark file source it skips names starting with ``_`` or ``.`` (markers such as
 
 from __future__ import annotations
 
+import posixpath
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..operators.files import has_wildcard, match_files, root_prefix
+from ..operators.files import has_wildcard, match_files, root_prefix, split_uri
 
 
 class NoMatchingFiles(FileNotFoundError):
     pass
 
 
+def _not_found(exc: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(exc)
+
+
+def qualified(spark: SparkSession, pattern: str) -> str:
+    """A relative path or pattern below the file system's working folder, others as they are.
+
+    Listings hold absolute paths, so a relative pattern could never match one."""
+    scheme, path = split_uri(pattern)
+    if scheme or path.startswith("/"):
+        return pattern
+    jvm = spark.sparkContext._jvm
+    system = jvm.org.apache.hadoop.fs.FileSystem.get(spark.sparkContext._jsc.hadoopConfiguration())
+    scheme, working = split_uri(system.getWorkingDirectory().toString())
+    return scheme + posixpath.normpath(f"{working}/{pattern}")
+
+
 def list_prefix(spark: SparkSession, root: str) -> DataFrame:
     """``path, length, modificationTime`` of every file under ``root``."""
     return (
@@ -34,38 +53,32 @@ def list_files(spark: SparkSession, pattern: str, require_match: bool = True) ->
     Raises ``NoMatchingFiles`` when nothing matches and ``require_match`` is set
     (the reference aborts in that case).
     """
-    if has_wildcard(pattern):
-        root = root_prefix(pattern) or "."
-        try:
-            files = match_files(list_prefix(spark, root), pattern)
-        except Exception as exc:  # the root itself does not exist
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                raise NoMatchingFiles(pattern) from exc
-            raise
-    else:
-        try:
+    pattern = qualified(spark, pattern)
+    try:
+        if has_wildcard(pattern):
+            files = match_files(list_prefix(spark, root_prefix(pattern)), pattern)
+        else:
             files = list_prefix(spark, pattern)
-        except Exception as exc:
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                raise NoMatchingFiles(pattern) from exc
-            raise
+    except AnalysisException as exc:  # the root itself does not exist
+        if _not_found(exc):
+            raise NoMatchingFiles(pattern) from exc
+        raise
     if require_match and files.isEmpty():
         raise NoMatchingFiles(pattern)
     return files
 
 
 def exists_any(spark: SparkSession, root: str) -> bool:
-    """Existence probe (S8, L2): at least one file under ``root``."""
+    """Existence probe (S8, L2): at least one file under ``root``. Only a missing path
+    means "none"; denied access or an unknown scheme is an error."""
     try:
-        return not list_prefix(spark, root).isEmpty()
-    except Exception:
-        return False
+        return not list_prefix(spark, qualified(spark, root)).isEmpty()
+    except AnalysisException as exc:
+        if _not_found(exc):
+            return False
+        raise
 
 
 def preview(files: DataFrame, n: int = 5) -> list[str]:
     """First ``n`` paths, for log lines (L3). Bounded by ``n``."""
     return [r.path for r in files.select("path").orderBy("path").limit(n).collect()]
-
-
-def base_name(path_col: str = "path"):
-    return F.element_at(F.split(F.col(path_col), "/"), -1)

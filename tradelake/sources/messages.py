@@ -26,16 +26,11 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int) -> DataFrame:
-    """Spread a source that arrives in fewer than ``min_partitions`` partitions
-    (one unsplittable file, a topic with few partitions) before CPU-heavy work.
-
-    A round-robin shuffle of the raw text; sources that are already split
-    (many files, many topic partitions) are returned unchanged, with no shuffle.
-    """
-    if df.rdd.getNumPartitions() >= min_partitions:
-        return df
-    return df.repartition(min_partitions)
+def spread(messages: DataFrame, partitions: int) -> DataFrame:
+    """Deal messages over ``partitions`` tasks before CPU-heavy work: a round-robin
+    shuffle of the raw text, for sources of few partitions (one unsplittable file, a
+    topic with few partitions)."""
+    return messages.repartition(partitions)
 
 
 def _epoch_ms(ts: Column) -> Column:

@@ -14,10 +14,15 @@ these in one scan (and reads NANOS only as BIGINT, under
    ``unionByName``s the groups (at most a handful).
 
 Only the four columns are read (P10); lake partition folders are ignored.
+
+A sound footer does not mean sound data: ``damaged_files`` reads the four columns of
+files whole, in tasks, and names those that cannot be read; ``unparseable_files`` names
+files whose text timestamps do not parse.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -33,26 +38,34 @@ NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 CLASSIFY_SCHEMA = "path string, signature string, error string"
 
 
-def _make_classifier(fields: tuple[str, ...]):
-    """The footer reader shipped to executors.
+def _make_opener():
+    """Opens a listed path in a task.
 
     Built as a closure so that it is pickled by value: executors need pyarrow,
     not this package.
     """
 
-    def filesystem(path):
+    def open_path(path):
         import re as _re
         import urllib.parse as _up
 
         from pyarrow import fs
 
         if path.startswith("file:"):
-            return fs.LocalFileSystem(), _up.unquote(_re.sub(r"^file:(//)?", "", path))
+            return fs.LocalFileSystem().open_input_file(_up.unquote(_re.sub(r"^file:(//)?", "", path)))
         if path.startswith("/"):
-            return fs.LocalFileSystem(), path
+            return fs.LocalFileSystem().open_input_file(path)
         if path.startswith("s3a://") or path.startswith("s3n://"):
             path = "s3://" + path[6:]
-        return fs.FileSystem.from_uri(path)
+        system, local = fs.FileSystem.from_uri(path)
+        return system.open_input_file(local)
+
+    return open_path
+
+
+def _make_classifier(fields: tuple[str, ...]):
+    """The footer reader shipped to executors (a closure, see ``_make_opener``)."""
+    open_path = _make_opener()
 
     def spark_type(col):
         physical = col.physical_type
@@ -76,11 +89,10 @@ def _make_classifier(fields: tuple[str, ...]):
         import pyarrow.parquet as pq
 
         try:
-            system, local = filesystem(path)
-            with system.open_input_file(local) as fh:
+            with open_path(path) as fh:
                 meta = pq.read_metadata(fh)
         except Exception as exc:  # unreadable footer: a failed file, retried next run
-            return None, f"unreadable: {type(exc).__name__}: {exc}"[:500]
+            return None, f"unreadable: {type(exc).__name__}: {exc}"
         cols = {}
         for i in range(len(meta.schema)):
             c = meta.schema.column(i)
@@ -124,6 +136,69 @@ def classify_files(files: DataFrame) -> DataFrame:
     return files.select("path").mapInArrow(_make_classifier(tuple(FIELDS)), CLASSIFY_SCHEMA)
 
 
+def _make_data_reader(fields: tuple[str, ...]):
+    """Reads the columns of whole files, a row group at a time, and reports the error of each."""
+    open_path = _make_opener()
+
+    def error_of(path):
+        import pyarrow.parquet as pq
+
+        try:
+            with open_path(path) as fh:
+                file = pq.ParquetFile(fh)
+                columns = [c for c in fields if c in file.schema_arrow.names]
+                for i in range(file.num_row_groups):
+                    file.read_row_group(i, columns=columns)
+        except Exception as exc:
+            return f"damaged: {type(exc).__name__}: {exc}"
+        return None
+
+    def check(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            errors = [error_of(p) for p in paths]
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(errors, pa.string())], names=["path", "error"])
+
+    return check
+
+
+def damaged_files(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
+    """``(path, error)`` of the files whose data cannot be read. Only these reach the driver."""
+    tasks = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(tasks)
+    checked = files.mapInArrow(_make_data_reader(tuple(FIELDS)), "path string, error string")
+    return [(r.path, r.error) for r in checked.where("error is not null").collect()]
+
+
+def unparseable_files(spark: SparkSession, rows) -> list[tuple[str, str]]:
+    """Classified files with text timestamps of which one does not parse: they fail, so that
+    no row is loaded without its time."""
+    found: list[tuple[str, str]] = []
+    groups: dict[str, list[str]] = {}
+    for r in rows:
+        if not r.error and _parse_signature(r.signature)["timestamp"][0] == "text":
+            groups.setdefault(r.signature, []).append(r.path)
+    for paths in groups.values():
+        by_path = {plain_path(p): p for p in paths}
+        text = F.col("timestamp")
+        bad = (
+            spark.read.schema("timestamp string").parquet(*paths)
+            .where(text.isNotNull() & parse_epoch_ms(text, StringType()).isNull())
+            .select(plain_path(F.col("_metadata.file_path")).alias("path")).distinct()
+        )
+        found += [(by_path.get(r.path, r.path), "text timestamps that do not parse") for r in bad.collect()]
+    return found
+
+
+def plain_path(path):
+    """One spelling of a local path (listings write ``file:/x``, scans ``file:///x``), for text or a column."""
+    if isinstance(path, Column):
+        return F.regexp_replace(path, "^file:/+", "file:/")
+    return re.sub("^file:/+", "file:/", path)
+
+
 def _parse_signature(signature: str) -> dict[str, tuple[str, str]]:
     out = {}
     for part in signature.split(";"):
@@ -175,8 +250,8 @@ def read_classified(spark: SparkSession, rows, with_file: bool = False) -> Trade
             failed.append((r.path, r.error))
         else:
             groups.setdefault(r.signature, []).append(r.path)
-    if any("timestamp=nanos" in s for s in groups):
-        spark.conf.set(NANOS_AS_LONG, "true")  # only affects INT64 NANOS columns
+    if any("timestamp=nanos" in s for s in groups) and spark.conf.get(NANOS_AS_LONG) != "true":
+        raise RuntimeError(f"set {NANOS_AS_LONG}=true (get_session and ensure_utc do) to read INT64 NANOS timestamps")
     parts = [_read_group(spark, s, sorted(p), with_file) for s, p in sorted(groups.items())]
     trades = reduce(lambda a, b: a.unionByName(b), parts) if parts else None
     good = sorted(p for ps in groups.values() for p in ps)
@@ -186,9 +261,9 @@ def read_classified(spark: SparkSession, rows, with_file: bool = False) -> Trade
 def read_trades(spark: SparkSession, files: DataFrame | list[str], with_file: bool = False) -> TradeRead:
     """Read trade files of any supported physical layout as one DataFrame.
 
-    ``files`` is a listing (``path`` column) or a list of paths. The classified
-    paths come back to the driver: Spark plans a file scan from an explicit path
-    list anyway, and callers bound the list (one load chunk at a time).
+    ``files`` is a listing (``path`` column) or a list of paths. The paths (not the
+    rows) come back to the driver, one entry a file: a Spark scan of chosen files is
+    planned from their paths, and its file index lives on the driver in any case.
     """
     if isinstance(files, list):
         files = spark.createDataFrame([(p,) for p in files], "path string")

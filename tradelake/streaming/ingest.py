@@ -11,19 +11,20 @@ last partial batch is written too.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.json import decode_json
+from ..functions.json import Codec, decode_json
 from ..operators.exchange import from_exchange
 from ..operators.trades import message_fields, split_trades
 from ..plans.writer import LAKE_PARTITIONS, with_lake_partitions
 
 
-def decode_trades(messages: DataFrame, raw: bool = False, keep: tuple[str, ...] = ()):
+def decode_trades(messages: DataFrame, raw: bool = False, keep: tuple[str, ...] = (), codec: Codec = F.try_parse_json):
     """Text messages (column ``value``) -> ``Split`` of clean trades and rejects.
 
     ``raw=True`` for exchange messages (``s, p, q, T``), else canonical events."""
-    decoded = decode_json(messages)
+    decoded = decode_json(messages, codec=codec)
     fields = from_exchange(decoded) if raw else message_fields(decoded)
     return split_trades(fields, keep=keep)
 

@@ -1,12 +1,14 @@
 """Streaming form of the incremental load (T5).
 
 A Parquet file stream over the lake finds new files (its checkpoint remembers
-which it has seen); each micro-batch is written to the fact table with
-``load_id = <name>-<batch id>`` and dynamic partition overwrite, so a batch that
-is replayed after a failure overwrites its own partitions instead of adding
-rows. The ledger gets the batch's file names, as the batch loader records them.
-The stream reads lake files written by this package (TIMESTAMP micros); mixed
-physical layouts need the batch loader.
+which it has seen). Files that the ledger lists as loaded by anything else, such as
+a batch load or another stream, are left out (a left anti join, as in the batch
+loader). The rest of a micro-batch is written to the fact table with dynamic
+partition overwrite and a ``load_id`` made of the query's id and the batch number,
+so that a batch that is run again after a failure overwrites its own partitions,
+and no other stream's; its ledger rows are written once. The stream reads lake files
+written by this package (TIMESTAMP micros); mixed physical layouts need the batch
+loader.
 """
 
 from __future__ import annotations
@@ -18,8 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timestamps import trade_date
-from ..plans.loader import _dynamic_overwrite
-from ..plans.tables import FACT_COLUMNS, require_ledger, resolve_names
+from ..operators.files import loaded_names
+from ..plans.loader import dynamic_overwrite
+from ..plans.tables import FACT_COLUMNS, ledger_rows, require_ledger, resolve_names
+from ..sources.trade_files import plain_path
+from .batches import batch_name
 
 LAKE_SCHEMA = "symbol string, price double, quantity double, timestamp timestamp"
 
@@ -29,7 +34,7 @@ def lake_stream(spark: SparkSession, root: str, max_files_per_trigger: int | Non
     reader = spark.readStream.schema(LAKE_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.parquet(root).select(*FACT_COLUMNS, F.col("_metadata.file_path").alias("file_name"))
+    return reader.parquet(root).select(*FACT_COLUMNS, plain_path(F.col("_metadata.file_path")).alias("file_name"))
 
 
 def load_stream(spark: SparkSession, root: str, table: str, checkpoint: str, *, name: str = "stream",
@@ -38,9 +43,13 @@ def load_stream(spark: SparkSession, root: str, table: str, checkpoint: str, *,
     require_ledger(spark, names)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        load_id = f"{name}-{batch_id:012d}"
-        at = _dt.datetime.now(_dt.timezone.utc)
-        batch = batch.persist()
+        spark = batch.sparkSession
+        load_id = f"{name}-{batch_name(spark, checkpoint, batch_id)}"
+        led = ledger_rows(spark, names)
+        if not led.where((F.col("load_id") == load_id) & (F.col("status") == "loaded")).isEmpty():
+            return  # the batch ended before, and only its commit was lost
+        others = loaded_names(led.select(plain_path(F.col("file_name")).alias("file_name"), "status"))
+        batch = batch.join(others, "file_name", "left_anti").persist()
         try:
             rows = (
                 batch.select(*FACT_COLUMNS)
@@ -48,8 +57,9 @@ def load_stream(spark: SparkSession, root: str, table: str, checkpoint: str, *,
                 .withColumn("load_id", F.lit(load_id))
                 .hint("rebalance", "trade_date")
             )
-            with _dynamic_overwrite(batch.sparkSession):
+            with dynamic_overwrite(spark):
                 rows.write.insertInto(names.fact, overwrite=True)
+            at = _dt.datetime.now(_dt.timezone.utc)
             (
                 batch.select("file_name").distinct()
                 .select(

@@ -1,49 +1,67 @@
 """Streaming one-minute buckets.
 
-Event-time tumbling windows with a watermark: a minute is emitted once the
-watermark (latest event time seen minus ``delay``) passes its end, and its state
-is dropped. State per open minute is one counter per distinct price (the
-run-length form of the minute's sorted price list), never a growing list.
+The consumer this follows keeps every minute for ever, so no trade may be lost for
+coming late and no minute withheld until the stream goes on. Each micro-batch is
+aggregated on its own and written to a partition named after the batch (a batch that is
+run again overwrites its own partition); reading sums the parts of a minute. There is no
+watermark and no state between batches. A folder belongs to one stream.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.timestamps import MINUTE_MS
+from ..operators.minutes import minute_bars, minute_price_runs
+from .batches import batch_name
 
 
-def _bucketed(trades: DataFrame, delay: str, by: tuple[str, ...], extra: tuple[str, ...] = ()):
-    return trades.withWatermark("timestamp", delay).groupBy(F.window("timestamp", "1 minute"), *by, *extra)
+def _write_parts(trades: DataFrame, path: str, checkpoint: str, part, trigger: dict | None) -> StreamingQuery:
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        name = batch_name(batch.sparkSession, checkpoint, batch_id)
+        (
+            part(batch).withColumn("batch", F.lit(name))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+        )
 
+    writer = trades.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
-def _minute(col: str = "window") -> F.Column:
-    return (F.unix_millis(F.col(f"{col}.start")) / F.lit(MINUTE_MS)).cast("bigint")
 
+def stream_minute_price_runs(trades: DataFrame, path: str, checkpoint: str, by: tuple[str, ...] = ("symbol",),
+                             trigger: dict | None = None) -> StreamingQuery:
+    """Start the stream of ``minute, *by, price, n`` parts into ``path``."""
+    return _write_parts(trades, path, checkpoint, lambda df: minute_price_runs(df, by), trigger)
 
-def minute_price_runs_stream(trades: DataFrame, delay: str = "1 minute", by: tuple[str, ...] = ("symbol",)) -> DataFrame:
-    """``minute, *by, price, n`` for each closed minute (append mode)."""
-    return (
-        _bucketed(trades, delay, by, ("price",))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(_minute().alias("minute"), *by, "price", "n")
-    )
+
+def read_minute_price_runs(spark: SparkSession, path: str, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """``minute, *by, price, n`` over all batches so far."""
+    return spark.read.parquet(path).groupBy("minute", *by, "price").agg(F.sum("n").alias("n"))
 
 
-def minute_ohlcv_stream(trades: DataFrame, delay: str = "1 minute", by: tuple[str, ...] = ("symbol",)) -> DataFrame:
-    """Open/high/low/close, volume and VWAP per closed minute (append mode)."""
-    order = F.struct(F.col("timestamp"), F.col("price"), F.col("quantity"))
+def stream_minute_ohlcv(trades: DataFrame, path: str, checkpoint: str, by: tuple[str, ...] = ("symbol",),
+                        trigger: dict | None = None) -> StreamingQuery:
+    """Start the stream of minute bars into ``path``."""
+    return _write_parts(trades, path, checkpoint, lambda df: minute_bars(df, by), trigger)
+
+
+def read_minute_ohlcv(spark: SparkSession, path: str, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """Open/high/low/close, volume and VWAP per minute over all batches so far."""
+    first, last = F.min(F.struct("first_at", "open")), F.max(F.struct("last_at", "close"))
     return (
-        _bucketed(trades, delay, by)
+        spark.read.parquet(path).groupBy("minute", *by)
         .agg(
-            F.count(F.lit(1)).alias("n_trades"),
-            F.min_by("price", order).alias("open"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.max_by("price", order).alias("close"),
-            F.sum("quantity").alias("volume"),
-            (F.sum(F.col("price") * F.col("quantity")) / F.sum("quantity")).alias("vwap"),
+            F.sum("n_trades").alias("n_trades"),
+            first.alias("first"),
+            F.max("high").alias("high"),
+            F.min("low").alias("low"),
+            last.alias("last"),
+            F.sum("volume").alias("volume"),
+            F.sum("turnover").alias("turnover"),
+        )
+        .select(
+            "minute", *by, "n_trades", F.col("first.open").alias("open"), "high", "low", F.col("last.close").alias("close"),
+            "volume", (F.col("turnover") / F.col("volume")).alias("vwap"),
         )
-        .select(_minute().alias("minute"), *by, "n_trades", "open", "high", "low", "close", "volume", "vwap")
     )

@@ -19,25 +19,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, VariantType
 
 from .functions import json as J
-from .functions.json import decode_json
+from .functions.json import decode_json, encode_json
 from .functions.numbers import text_to_double
 from .functions.symbols import normalize_symbol
 from .functions.timestamps import minute_bucket, parse_epoch_ms
-from .operators.dedupe import new_rows
 from .operators.exchange import from_exchange, to_canonical_json
 from .operators.files import limit_files, pending_files
 from .operators.minutes import minute_ohlcv, minute_price_runs, minute_prices
-from .operators.trades import is_valid_trade, reject_counts, split_trades
+from .operators.trades import FIELDS, is_valid_trade, reject_counts, split_trades
+from .plans.compact import compact_days
 from .plans.loader import load_batch
-from .plans.tables import ensure_tables, fact_view, ledger_rows, ledger_view, resolve_names, trades_between
-from .plans.writer import write_trades
+from .plans.tables import (
+    ensure_tables,
+    fact_view,
+    is_loaded,
+    ledger_rows,
+    ledger_view,
+    resolve_names,
+    rows_to_add,
+    trades_between,
+)
+from .plans.writer import LAKE_PARTITIONS, with_lake_partitions, write_trades
 from .session import ensure_utc, scratch_dir
-from .sources.listing import list_files
-from .sources.messages import events_as_messages, lineitem_as_messages, read_table
+from .sources.listing import exists_any, list_files, preview
+from .sources.messages import events_as_messages, lineitem_as_messages, read_table, spread
 from .sources.trade_files import read_trades
-from .streaming.ingest import stream_trades
+from .streaming.dedupe import dedupe_stream, deduped
+from .streaming.ingest import for_each_batch, stream_trades
 from .streaming.load import load_stream
-from .streaming.minutes import minute_price_runs_stream
+from .streaming.minutes import (
+    read_minute_ohlcv,
+    read_minute_price_runs,
+    stream_minute_ohlcv,
+    stream_minute_price_runs,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 TRADE_COLS = ("symbol", "price", "quantity", "timestamp")
@@ -68,6 +83,38 @@ def _event_lake(spark: SparkSession, sf: str) -> str:
     return lake
 
 
+def _one_file_a_day(trades: DataFrame, lake: str) -> str:
+    """Append trades to a lake in which every day has exactly one file, whatever its size."""
+    days = with_lake_partitions(trades, F.col("timestamp")).repartition(*LAKE_PARTITIONS)
+    days.write.mode("append").partitionBy(*LAKE_PARTITIONS).parquet(lake)
+    return lake
+
+
+def _per_day(trades: DataFrame, *more: Column) -> DataFrame:
+    t = F.col("timestamp")
+    days = trades.groupBy(F.year(t).cast("bigint").alias("year"), F.month(t).cast("bigint").alias("month"), F.dayofmonth(t).cast("bigint").alias("day"))
+    return days.agg(F.count(F.lit(1)).alias("n_rows"), _dec(F.sum("quantity")).alias("quantity")).select("*", *more)
+
+
+def _number(value: int, name: str) -> Column:
+    return F.lit(value).cast("bigint").alias(name)
+
+
+def _write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    out.write(data)
+    out.close()
+
+
+def _damaged(spark: SparkSession, path: str) -> bytes:
+    """A file's bytes with a sound footer and its first pages overwritten."""
+    data = bytearray(spark.read.format("binaryFile").load(path).first().content)
+    data[4:200] = b"\xff" * 196
+    return bytes(data)
+
+
 def _fresh_table(spark: SparkSession) -> str:
     db = "tl_" + scratch_dir(spark, "x").rsplit("-", 1)[1]
     ensure_tables(spark, f"{db}.btc_trades", location=scratch_dir(spark, "warehouse"))
@@ -99,6 +146,8 @@ WITH clean AS (
 )"""
 
 MINUTE = "((epoch_ms(\"timestamp\") - ((epoch_ms(\"timestamp\") % 60000) + 60000) % 60000) // 60000)"
+PER_DAY = """year("timestamp")::BIGINT AS year, month("timestamp")::BIGINT AS month, day("timestamp")::BIGINT AS day,
+       count(*) AS n_rows, CAST(round(sum(quantity), 4) AS DECIMAL(18,4)) AS quantity"""
 DAY_TEXT = "concat('year=', year(\"timestamp\"), '/month=', month(\"timestamp\"), '/day=', day(\"timestamp\"), '/')"
 
 # ---------------------------------------------------------------- step 1: expressions
@@ -267,7 +316,8 @@ SELECT event_id, symbol, price, quantity, "timestamp" FROM clean"""
 
 
 def q_clean_lineitem(spark, sf):
-    msgs = from_exchange(decode_json(lineitem_as_messages(spark, sf)))
+    wide = spread(lineitem_as_messages(spark, sf), 2 * spark.sparkContext.defaultParallelism)
+    msgs = from_exchange(decode_json(wide))
     return split_trades(msgs, keep=("l_orderkey", "l_linenumber")).clean
 
 
@@ -297,24 +347,26 @@ SELECT {MINUTE} AS minute, symbol, price, count(*) AS n FROM clean GROUP BY ALL"
 
 
 def q_minute_prices(spark, sf):
-    mp = minute_prices(_clean_events(spark, sf, keep=()))
-    p = F.col("prices")
-    return mp.select(
-        "minute", "symbol", F.col("chunk").cast("bigint").alias("chunk"), "minute_trades", "n_trades", "n_prices",
-        p[0]["price"].alias("first_price"), F.element_at(p, -1)["price"].alias("last_price"),
-        p[0]["n"].alias("first_n"), F.element_at(p, -1)["n"].alias("last_n"),
-        _dec(F.aggregate(p, F.lit(0.0), lambda acc, r: acc + r["price"] * r["n"])).alias("price_sum"),
+    """Every run of the sorted lists, with the price before it in its list."""
+    mp = minute_prices(_clean_events(spark, sf, keep=()), chunks=1)
+    runs = mp.select("minute", "symbol", "n_trades", "n_prices", "prices", F.posexplode("prices").alias("pos", "run"))
+    before = F.when(F.col("pos") > 0, F.get("prices", F.col("pos") - 1)["price"])
+    return runs.select(
+        "minute", "symbol", "n_trades", "n_prices", F.col("run.price").alias("price"), F.col("run.n").alias("n"), before.alias("price_before")
     )
 
 
 SQL_MINUTE_PRICES = EV + f"""
 , runs AS (SELECT {MINUTE} AS minute, symbol, price, count(*) AS n FROM clean GROUP BY ALL)
-SELECT minute, symbol, CAST(0 AS BIGINT) AS chunk, sum(n)::BIGINT AS minute_trades, sum(n)::BIGINT AS n_trades,
-       count(*) AS n_prices,
-       min(price) AS first_price, max(price) AS last_price,
-       arg_min(n, price) AS first_n, arg_max(n, price) AS last_n,
-       CAST(round(sum(price * n), 4) AS DECIMAL(18,4)) AS price_sum
-FROM runs GROUP BY minute, symbol"""
+SELECT minute, symbol, CAST(sum(n) OVER m AS BIGINT) AS n_trades, count(*) OVER m AS n_prices, price, n,
+       lag(price) OVER (PARTITION BY minute, symbol ORDER BY price) AS price_before
+FROM runs WINDOW m AS (PARTITION BY minute, symbol)"""
+
+
+def q_minute_price_chunks(spark, sf):
+    """The lists as they are dealt by default, put together again."""
+    mp = minute_prices(_clean_events(spark, sf, keep=()))
+    return mp.select("minute", "symbol", F.explode("prices").alias("run")).select("minute", "symbol", "run.price", "run.n")
 
 
 def q_minute_ohlcv(spark, sf):
@@ -340,30 +392,41 @@ FROM clean GROUP BY ALL"""
 
 
 def q_write_partitioned(spark, sf):
-    lake = scratch_dir(spark, "lake") + "/btc_trades"
-    write_trades(_clean_events(spark, sf, keep=()), lake)
-    back = spark.read.parquet(lake)
-    return back.select(*TRADE_COLS)
+    back = spark.read.parquet(_event_lake(spark, sf))
+    return back.select(*TRADE_COLS, *[F.col(c).cast("bigint").alias(c) for c in LAKE_PARTITIONS])
 
 
 SQL_WRITE_PARTITIONED = EV + """
-SELECT symbol, price, quantity, "timestamp" FROM clean"""
+SELECT symbol, price, quantity, "timestamp",
+       year("timestamp")::BIGINT AS year, month("timestamp")::BIGINT AS month, day("timestamp")::BIGINT AS day FROM clean"""
+
+
+def q_write_processing_time(spark, sf):
+    """Folders of one instant for all rows."""
+    lake = scratch_dir(spark, "lake") + "/btc_trades"
+    write_trades(_clean_events(spark, sf, keep=()), lake, as_of="2026-04-04 12:00:00")
+    return spark.read.parquet(lake).select(*TRADE_COLS, *[F.col(c).cast("bigint").alias(c) for c in LAKE_PARTITIONS])
+
+
+SQL_WRITE_PROCESSING_TIME = EV + """
+SELECT symbol, price, quantity, "timestamp", CAST(2026 AS BIGINT) AS year, CAST(4 AS BIGINT) AS month, CAST(4 AS BIGINT) AS day
+FROM clean"""
 
 
 def q_batch_files(spark, sf):
+    """Files of a day with at most 100 rows each. A day of these tables is one task's work."""
     lake = scratch_dir(spark, "lake") + "/btc_trades"
-    clean = split_trades(from_exchange(decode_json(lineitem_as_messages(spark, sf)))).clean
-    write_trades(clean, lake, batch_size=100)
-    per_file = spark.read.parquet(lake).groupBy(F.col("_metadata.file_path")).agg(F.count(F.lit(1)).alias("rows"))
-    return per_file.agg(
-        F.sum("rows").cast("bigint").alias("total_rows"),
-        F.sum(F.when(F.col("rows") > 100, 1).otherwise(0)).cast("bigint").alias("files_over_limit"),
-        (F.count(F.lit(1)) >= F.ceil(F.sum("rows") / 100)).alias("enough_files"),
+    write_trades(_clean_events(spark, sf, keep=()), lake, batch_size=100, as_of=F.col("timestamp"))
+    per_file = spark.read.parquet(lake).groupBy(*LAKE_PARTITIONS, F.col("_metadata.file_path")).agg(F.count(F.lit(1)).alias("rows"))
+    return per_file.groupBy(*[F.col(c).cast("bigint").alias(c) for c in LAKE_PARTITIONS]).agg(
+        F.sum("rows").alias("n_rows"), F.count(F.lit(1)).alias("n_files"), F.max("rows").alias("most_rows")
     )
 
 
-SQL_BATCH_FILES = LI + """
-SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS files_over_limit, true AS enough_files FROM clean"""
+SQL_BATCH_FILES = EV + """
+SELECT year("timestamp")::BIGINT AS year, month("timestamp")::BIGINT AS month, day("timestamp")::BIGINT AS day,
+       count(*) AS n_rows, CAST(ceil(count(*) / 100.0) AS BIGINT) AS n_files, least(count(*), 100) AS most_rows
+FROM clean GROUP BY ALL"""
 
 # ---------------------------------------------------------------- step 6: listing
 
@@ -382,7 +445,7 @@ FROM clean GROUP BY ALL"""
 
 
 def q_limit_files(spark, sf):
-    lake = _event_lake(spark, sf)
+    lake = _one_file_a_day(_clean_events(spark, sf, keep=()), scratch_dir(spark, "lake") + "/btc_trades")
     files = limit_files(list_files(spark, lake + "/year=*/month=*/day=*/*.parquet"), 5)
     rows = read_trades(spark, files, with_file=True).trades
     return _days(rows).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -394,6 +457,31 @@ SQL_LIMIT_FILES = EV + f"""
 SELECT year, month, day, n_rows FROM days ORDER BY k LIMIT 5"""
 
 
+def q_single_file(spark, sf):
+    """One explicit path instead of a pattern: the first day's file."""
+    lake = _one_file_a_day(_clean_events(spark, sf, keep=()), scratch_dir(spark, "lake") + "/btc_trades")
+    path = preview(list_files(spark, lake + "/*.parquet"), 1)[0]
+    return read_trades(spark, list_files(spark, path)).trades
+
+
+SQL_SINGLE_FILE = EV + f"""
+SELECT symbol, price, quantity, "timestamp" FROM clean WHERE {DAY_TEXT} = (SELECT min({DAY_TEXT}) FROM clean)"""
+
+
+def q_exists_preview(spark, sf):
+    lake = _one_file_a_day(_clean_events(spark, sf, keep=()), scratch_dir(spark, "lake") + "/btc_trades")
+    files = list_files(spark, lake + "/year=*/month=*/day=*/*.parquet")
+    shown = files.where(F.col("path").isin(preview(files)))
+    there, missing = exists_any(spark, lake), exists_any(spark, lake + "/nothing-here")
+    return _days(shown, "path").select("*", F.lit(there).alias("there"), F.lit(missing).alias("missing"))
+
+
+SQL_EXISTS_PREVIEW = EV + f"""
+, days AS (SELECT DISTINCT {DAY_TEXT} AS k, year("timestamp")::BIGINT AS year, month("timestamp")::BIGINT AS month,
+                  day("timestamp")::BIGINT AS day FROM clean)
+SELECT year, month, day, true AS there, false AS missing FROM days ORDER BY k LIMIT 5"""
+
+
 def q_pending_files(spark, sf):
     lake = _event_lake(spark, sf)
     table = _fresh_table(spark)
@@ -417,25 +505,26 @@ def _pandas_style_writer(folder: str):
 
     def write(batches):
         import re as _re
-        import uuid as _uuid
 
         import pyarrow as pa
         import pyarrow.compute as pc
         import pyarrow.parquet as pq
         from pyarrow import fs
+        from pyspark import TaskContext
 
         if _re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", folder) and not folder.startswith("file:"):
             system, base = fs.FileSystem.from_uri(folder)
         else:
             system, base = fs.LocalFileSystem(), _re.sub(r"^file:(//)?", "", folder)
         system.create_dir(base, recursive=True)
-        for batch in batches:
+        for k, batch in enumerate(batches):
             if batch.num_rows == 0:
                 continue
             table = pa.Table.from_batches([batch])
             ts = pc.cast(table.column("timestamp"), pa.timestamp("ns", tz="UTC"))
             table = table.set_column(table.schema.get_field_index("timestamp"), "timestamp", ts)
-            name = f"{base}/nanos-{_uuid.uuid4().hex}.parquet"
+            # named by task and batch: a task that runs again writes the same files again
+            name = f"{base}/nanos-{TaskContext.get().partitionId():05d}-{k:05d}.parquet"
             pq.write_table(table, name, filesystem=system)
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([batch.num_rows], pa.int64())], names=["file", "rows"])
 
@@ -516,7 +605,7 @@ SELECT DISTINCT year("timestamp")::BIGINT AS year, month("timestamp")::BIGINT AS
 
 
 def q_load_metrics(spark, sf):
-    lake = _event_lake(spark, sf)
+    lake = _one_file_a_day(_clean_events(spark, sf, keep=()), scratch_dir(spark, "lake") + "/btc_trades")
     table = _fresh_table(spark)
     first = load_batch(spark, lake + "/year=*/month=*/day=1*/*.parquet", table).first()
     second = load_batch(spark, lake + "/year=*/month=*/day=*/*.parquet", table).first()
@@ -548,6 +637,106 @@ SQL_TRADES_BETWEEN = EV + """
 SELECT symbol, price, quantity, "timestamp" FROM clean
 WHERE "timestamp" >= TIMESTAMP '2024-01-05 06:00:00' AND "timestamp" < TIMESTAMP '2024-01-12 18:00:00'"""
 
+
+
+ALL_DAYS, SOME_DAYS = "/year=*/month=*/day=*/*.parquet", "/year=*/month=*/day=1*/*.parquet"
+SQL_PER_DAY = EV + f"""
+SELECT {PER_DAY} FROM clean GROUP BY ALL"""
+
+
+def q_create_tables(spark, sf):
+    """A table made anew forgets its rows and its files: the next load reads all of them."""
+    lake = _event_lake(spark, sf)
+    table = _fresh_table(spark)
+    load_batch(spark, lake + SOME_DAYS, table).collect()
+    ensure_tables(spark, table, recreate=True)
+    empty = fact_view(spark, table).count() + ledger_view(spark, table).count()
+    load_batch(spark, lake + ALL_DAYS, table, create=True).collect()
+    return _per_day(fact_view(spark, table), _number(empty, "left_after_recreate"))
+
+
+SQL_CREATE_TABLES = EV + f"""
+SELECT {PER_DAY}, CAST(0 AS BIGINT) AS left_after_recreate FROM clean GROUP BY ALL"""
+
+
+def q_ledger_lookup(spark, sf):
+    """The first and the last file, looked up one by one."""
+    lake = _one_file_a_day(_clean_events(spark, sf, keep=()), scratch_dir(spark, "lake") + "/btc_trades")
+    table = _fresh_table(spark)
+    load_batch(spark, lake + SOME_DAYS, table).collect()
+    files = list_files(spark, lake + ALL_DAYS)
+    ends = files.agg(F.min("path").alias("low"), F.max("path").alias("high")).first()
+    found = {p: is_loaded(spark, table, p) for p in ends}
+    rows = files.where(F.col("path").isin(list(ends))).withColumn("loaded", F.col("path").isin([p for p in ends if found[p]]))
+    return _days(rows, "path").join(rows.select(_part(F.col("path"), "day").alias("day"), "loaded"), "day").select("year", "month", "day", "loaded")
+
+
+SQL_LEDGER_LOOKUP = EV + f"""
+, days AS (SELECT DISTINCT {DAY_TEXT} AS k, year("timestamp")::BIGINT AS year, month("timestamp")::BIGINT AS month,
+                  day("timestamp")::BIGINT AS day FROM clean)
+SELECT year, month, day, CAST(day AS VARCHAR) LIKE '1%' AS loaded FROM days
+WHERE k IN ((SELECT min(k) FROM days), (SELECT max(k) FROM days))"""
+
+
+def q_load_with_bad_file(spark, sf):
+    """A file with a sound footer and damaged pages is reported on every run and stops no other file."""
+    clean = _clean_events(spark, sf, keep=())
+    some = F.dayofmonth("timestamp").cast("string").startswith("1")
+    lake = _one_file_a_day(clean.where(some), scratch_dir(spark, "lake") + "/btc_trades")
+    table = _fresh_table(spark)
+    path = preview(list_files(spark, lake + ALL_DAYS), 1)[0]
+    bad = path.rsplit("/", 1)[0] + "/damaged.parquet"
+    _write_bytes(spark, bad, _damaged(spark, path))
+    first = load_batch(spark, lake + ALL_DAYS, table).first()
+    _one_file_a_day(clean.where(~some), lake)
+    second = load_batch(spark, lake + ALL_DAYS, table).first()
+    named = sum(m.failed == [bad] for m in (first, second))
+    recorded = ledger_view(spark, table).where(F.col("file_name") == bad).count()
+    return _per_day(fact_view(spark, table), _number(named, "reported"), _number(recorded, "recorded"))
+
+
+SQL_LOAD_WITH_BAD_FILE = EV + f"""
+SELECT {PER_DAY}, CAST(2 AS BIGINT) AS reported, CAST(0 AS BIGINT) AS recorded FROM clean GROUP BY ALL"""
+
+
+def q_recover_load(spark, sf):
+    """A load that died before its ``loaded`` entries, one of whose files is damaged since: its rows stay."""
+    lake = _one_file_a_day(_clean_events(spark, sf, keep=()), scratch_dir(spark, "lake") + "/btc_trades")
+    table = _fresh_table(spark)
+    names = resolve_names(spark, table)
+    load_batch(spark, lake + ALL_DAYS, table).collect()
+    led = spark.table(names.ledger_table)
+    begun = led.where(F.col("status") == "pending").collect()
+    spark.sql(f"TRUNCATE TABLE {names.ledger_table}")
+    spark.createDataFrame(begun, led.schema).write.insertInto(names.ledger_table)
+    path = preview(list_files(spark, lake + ALL_DAYS), 1)[0]
+    _write_bytes(spark, path, _damaged(spark, path))
+    m = load_batch(spark, lake + ALL_DAYS, table).first()
+    return _per_day(fact_view(spark, table), _number(m.recovered_loads, "recovered"), _number(m.files_failed, "failed"))
+
+
+SQL_RECOVER_LOAD = EV + f"""
+SELECT {PER_DAY}, CAST(0 AS BIGINT) AS recovered, CAST(1 AS BIGINT) AS failed FROM clean GROUP BY ALL"""
+
+
+def q_compact_days(spark, sf):
+    """Two loads of every day, then one load id a day with the same rows."""
+    halves = _clean_events(spark, sf)
+    table = _fresh_table(spark)
+    for k in (0, 1):
+        half = halves.where(F.col("event_id") % 2 == k).drop("event_id")
+        lake = _one_file_a_day(half, scratch_dir(spark, "lake") + "/btc_trades")
+        load_batch(spark, lake + ALL_DAYS, table).collect()
+    compact_days(spark, table)
+    ids = spark.table(resolve_names(spark, table).fact).groupBy(F.dayofmonth("trade_date").cast("bigint").alias("day")).agg(
+        F.countDistinct("load_id").alias("load_ids")
+    )
+    return _per_day(fact_view(spark, table)).join(ids, "day")
+
+
+SQL_COMPACT_DAYS = EV + f"""
+SELECT {PER_DAY}, CAST(1 AS BIGINT) AS load_ids FROM clean GROUP BY ALL"""
+
 # ---------------------------------------------------------------- step 9: streaming
 
 
@@ -571,24 +760,79 @@ def q_stream_clean(spark, sf):
 SQL_STREAM_CLEAN = SQL_READ_MIXED_TIMESTAMPS
 
 
+def _out_of_order(spark: SparkSession, sf: str, copies: int = 1) -> DataFrame:
+    """A stream of clean trades from files that each hold all times, two files a micro-batch."""
+    folder = scratch_dir(spark, "messages")
+    one = events_as_messages(spark, sf).select("value")
+    for _ in range(copies):
+        one.repartition(6).write.mode("append").text(folder)
+    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).text(folder)
+    return split_trades(from_exchange(decode_json(messages))).clean
+
+
 def q_stream_minutes(spark, sf):
-    lake = _event_lake(spark, sf)
     out = scratch_dir(spark, "minutes")
-    trades = spark.readStream.schema("symbol string, price double, quantity double, timestamp timestamp").parquet(lake)
-    q = (
-        minute_price_runs_stream(trades, "1 minute")
-        .writeStream.format("parquet").option("checkpointLocation", scratch_dir(spark, "ckpt"))
-        .outputMode("append").trigger(availableNow=True).start(out)
+    stream_minute_price_runs(_out_of_order(spark, sf), out, scratch_dir(spark, "ckpt"), trigger={"availableNow": True}).awaitTermination()
+    return read_minute_price_runs(spark, out)
+
+
+SQL_STREAM_MINUTES = SQL_MINUTE_PRICE_RUNS
+
+
+def q_stream_ohlcv(spark, sf):
+    out = scratch_dir(spark, "bars")
+    stream_minute_ohlcv(_out_of_order(spark, sf), out, scratch_dir(spark, "ckpt"), trigger={"availableNow": True}).awaitTermination()
+    return read_minute_ohlcv(spark, out).select(
+        "minute", "symbol", "n_trades", "open", "high", "low", "close", _dec(F.col("volume")).alias("volume"), _dec(F.col("vwap"), 6).alias("vwap")
     )
-    q.awaitTermination()
-    return spark.read.parquet(out)
 
 
-SQL_STREAM_MINUTES = EV + f"""
-, mx AS (SELECT max(epoch_ms("timestamp")) AS m FROM clean)
-SELECT {MINUTE} AS minute, symbol, price, count(*) AS n FROM clean, mx
-WHERE ({MINUTE} + 1) * 60000 <= mx.m - 60000
-GROUP BY ALL"""
+SQL_STREAM_OHLCV = f"SELECT * EXCLUDE (window_start) FROM ({SQL_MINUTE_OHLCV})"
+
+
+def q_dedupe_stream(spark, sf):
+    """Every message arrives twice, in no order."""
+    out = scratch_dir(spark, "deduped")
+    dedupe_stream(_out_of_order(spark, sf, copies=2), out, scratch_dir(spark, "ckpt"), FIELDS, {"availableNow": True}).awaitTermination()
+    return deduped(spark, out)
+
+
+SQL_DEDUPE_STREAM = EV + """
+SELECT DISTINCT symbol, price, quantity, "timestamp" FROM clean"""
+
+
+def q_for_each_batch(spark, sf):
+    """A callback that counts each micro-batch by symbol; its output is named after the batch."""
+    out = scratch_dir(spark, "batches")
+
+    def count(trades: DataFrame, batch_id: int) -> None:
+        trades.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    folder = scratch_dir(spark, "messages")
+    events_as_messages(spark, sf).select("value").repartition(4).write.text(folder)
+    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).text(folder)
+    for_each_batch(messages, count, scratch_dir(spark, "ckpt"), raw=True, trigger={"availableNow": True}).awaitTermination()
+    return spark.read.parquet(out).groupBy("symbol").agg(F.sum("n").alias("n_trades"))
+
+
+SQL_FOR_EACH_BATCH = EV + """
+SELECT symbol, count(*) AS n_trades FROM clean GROUP BY symbol"""
+
+
+def q_custom_codec(spark, sf):
+    """Messages as base64 text instead of JSON, there and back."""
+    clean = _clean_events(spark, sf)
+    messages = encode_json(clean, codec=lambda c: F.base64(F.to_json(c).cast("binary")))
+    back = decode_json(messages, codec=lambda c: F.try_parse_json(F.unbase64(c).cast("string")))
+    get = lambda key, kind: F.try_variant_get("msg", f"$.{key}", kind)
+    return back.select(
+        get("event_id", "bigint").alias("event_id"), get("symbol", "string").alias("symbol"),
+        get("price", "double").alias("price"), get("quantity", "double").alias("quantity"),
+        get("timestamp", "timestamp").alias("timestamp"),
+    )
+
+
+SQL_CUSTOM_CODEC = SQL_CLEAN_TRADES
 
 
 def q_stream_load(spark, sf):
@@ -601,6 +845,26 @@ def q_stream_load(spark, sf):
 
 SQL_STREAM_LOAD = SQL_READ_MIXED_TIMESTAMPS
 
+
+def q_stream_after_batch(spark, sf):
+    """A stream over files of which a batch load has loaded some."""
+    lake = _event_lake(spark, sf)
+    table = _fresh_table(spark)
+    load_batch(spark, lake + SOME_DAYS, table).collect()
+    load_stream(spark, lake, table, scratch_dir(spark, "ckpt"), trigger={"availableNow": True}).awaitTermination()
+    return _per_day(fact_view(spark, table))
+
+
+def q_two_streams(spark, sf):
+    """Two streams of the same name, each over half of the trades of the same days."""
+    halves = _clean_events(spark, sf)
+    table = _fresh_table(spark)
+    for k in (0, 1):
+        lake = _one_file_a_day(halves.where(F.col("event_id") % 2 == k).drop("event_id"), scratch_dir(spark, "lake") + "/btc_trades")
+        load_stream(spark, lake, table, scratch_dir(spark, "ckpt"), trigger={"availableNow": True}).awaitTermination()
+    return _per_day(fact_view(spark, table))
+
+
 # ---------------------------------------------------------------- step 11: extension
 
 
@@ -609,7 +873,7 @@ def q_dedupe_merge(spark, sf):
     table = _fresh_table(spark)
     load_batch(spark, lake + "/year=*/month=*/day=1*/*.parquet", table).collect()
     replay = _clean_events(spark, sf, keep=()).unionByName(_clean_events(spark, sf, keep=()))
-    return new_rows(replay, fact_view(spark, table))
+    return rows_to_add(spark, replay, table, FIELDS)
 
 
 SQL_DEDUPE_MERGE = EV + """
@@ -634,11 +898,15 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "reject_counts": (q_reject_counts, SQL_REJECT_COUNTS),
     "minute_price_runs": (q_minute_price_runs, SQL_MINUTE_PRICE_RUNS),
     "minute_prices": (q_minute_prices, SQL_MINUTE_PRICES),
+    "minute_price_chunks": (q_minute_price_chunks, SQL_MINUTE_PRICE_RUNS),
     "minute_ohlcv": (q_minute_ohlcv, SQL_MINUTE_OHLCV),
     "write_partitioned": (q_write_partitioned, SQL_WRITE_PARTITIONED),
+    "write_processing_time": (q_write_processing_time, SQL_WRITE_PROCESSING_TIME),
     "batch_files": (q_batch_files, SQL_BATCH_FILES),
     "list_files": (q_list_files, SQL_LIST_FILES),
     "limit_files": (q_limit_files, SQL_LIMIT_FILES),
+    "single_file": (q_single_file, SQL_SINGLE_FILE),
+    "exists_preview": (q_exists_preview, SQL_EXISTS_PREVIEW),
     "pending_files": (q_pending_files, SQL_PENDING_FILES),
     "read_mixed_timestamps": (q_read_mixed_timestamps, SQL_READ_MIXED_TIMESTAMPS),
     "read_projected": (q_read_projected, SQL_READ_PROJECTED),
@@ -646,10 +914,21 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "load_twice": (q_load_twice, SQL_LOAD_TWICE),
     "ledger_rows": (q_ledger_rows, SQL_LEDGER_ROWS),
     "load_metrics": (q_load_metrics, SQL_LOAD_METRICS),
+    "create_tables": (q_create_tables, SQL_CREATE_TABLES),
+    "ledger_lookup": (q_ledger_lookup, SQL_LEDGER_LOOKUP),
+    "load_with_bad_file": (q_load_with_bad_file, SQL_LOAD_WITH_BAD_FILE),
+    "recover_load": (q_recover_load, SQL_RECOVER_LOAD),
+    "compact_days": (q_compact_days, SQL_COMPACT_DAYS),
     "trades_between": (q_trades_between, SQL_TRADES_BETWEEN),
     "stream_clean": (q_stream_clean, SQL_STREAM_CLEAN),
     "stream_minutes": (q_stream_minutes, SQL_STREAM_MINUTES),
+    "stream_ohlcv": (q_stream_ohlcv, SQL_STREAM_OHLCV),
+    "dedupe_stream": (q_dedupe_stream, SQL_DEDUPE_STREAM),
+    "for_each_batch": (q_for_each_batch, SQL_FOR_EACH_BATCH),
+    "custom_codec": (q_custom_codec, SQL_CUSTOM_CODEC),
     "stream_load": (q_stream_load, SQL_STREAM_LOAD),
+    "stream_after_batch": (q_stream_after_batch, SQL_PER_DAY),
+    "two_streams": (q_two_streams, SQL_PER_DAY),
     "dedupe_merge": (q_dedupe_merge, SQL_DEDUPE_MERGE),
 }
 
