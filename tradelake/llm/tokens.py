@@ -20,6 +20,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 
@@ -68,6 +69,9 @@ class WordEncoder:
             lead, space, word = (self.newline if word[:1] == "\n" else []), "", word[1:]
         end: list[int] = []
         if word[-1:] in self.ends:
+            if (k := self.places.get(word[:-1], -1)) >= 0 and word[-2:-1].isalpha() and not lead and (space or not self.part):
+                a = self.starts[k]
+                return self.ids[a : a + self.sizes[k]].tolist() + self.ends[word[-1]]
             end, word = self.ends[word[-1]], word[:-1]
         if not word.isalpha():
             return None
@@ -107,13 +111,16 @@ class WordEncoder:
             else:
                 words += text.replace("\n", " ").split(" ")
             ends.append(len(words))
-        new = set(words).difference(self.places)
-        if len(new) + len(self.places) > MAX_WORDS:
-            self._clear()
-            new = set(words)
-        if new:
-            self._learn(list(new))
-        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.nonzero(at < 0)[0].tolist()
+        if missing:
+            new = {words[k] for k in missing}
+            if len(new) + len(self.places) > MAX_WORDS:
+                self._clear()
+                new, missing = set(words), range(len(words))
+            self._learn([w for w in new if w[-1:] not in self.ends])
+            self._learn([w for w in new if w[-1:] in self.ends])  # of many, the word itself is known by now
+            at[missing] = [self.places[words[k]] for k in missing]
         sizes = self.sizes[at]
         upto = np.concatenate([[0], np.cumsum(sizes)])
         flat = self.ids[np.repeat(self.starts[at] - upto[:-1], sizes) + np.arange(upto[-1])]
