@@ -7,15 +7,16 @@ symmetric difference of the sets. For a similarity of at least t that is at most
 size; sketches of a band have the same number of cells, several a document's worth, and a
 document also joins the band below when a partner may lie there. By the pigeonhole principle
 two linked documents agree in one of the first ``d + 1`` non-empty cells in any common order,
-with d the most cells that may differ; cells of rare shingles come first (a fixed-size count
-over all documents). Candidates are pairs with an equal cell; a 1024-bit parity sketch (one bit
+with d the most cells that may differ; cells of rare shingles (by a fixed-size count over all
+documents) and of several shingles come first. Candidates are pairs with an equal cell; a 1024-bit parity sketch (one bit
 flipped for each shingle, Hamming distance again a lower bound) discards most false ones, and
 the rest are verified on whole sets.
 
 No group is expanded into all its pairs. Equal sets are one class, represented by its smallest
-id. Within a group of equal cells every member is first tried against the group's first member;
-verified links give components; only members of groups that still span several components are
-compared with each other, in blocks of bounded size, and only across components.
+id. Within a group of equal cells every member is paired with the group's first member; of these
+pairs each document's nearest by sketch is verified first, then those that still lie across
+components. Only members of groups that span several components after that are compared with
+each other, in blocks of bounded size, and only across components.
 
 Defined results
   null or empty text, no words   no shingles, own component, linked with nothing
@@ -40,11 +41,12 @@ from .graph import components
 from .shingles import mix, shingle_set
 
 #: Slots of the shingle count, bits of the pair filter, bits of the candidate filter: fixed sizes.
-COUNT_BITS, SKETCH_BITS, BLOOM_BITS = 18, 1024, 24
+COUNT_BITS, SKETCH_BITS, BLOOM_BITS = 20, 1024, 24
 #: Set sizes of a band lie within this ratio; bands below SMALL shingles have a cell for nearly each one.
 RATIO, SMALL, SMALL_CELLS = 4, 16, 1 << 16
 PIECES = 16
 BLOCK_ROWS = 2000
+HELD_ROWS = 300_000
 
 FIRST_SCHEMA = "doc_id long, n long, h1 long, h2 long, sketch array<long>, piece int, data binary"
 FIRST_ARROW = pa.schema(
@@ -97,7 +99,8 @@ def cell_keys(shingles: np.ndarray, classes: np.ndarray, percent: int) -> np.nda
         cell = ((shingles >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)
         first = np.concatenate([[0], np.nonzero(cell[1:] != cell[:-1])[0] + 1])
         values = np.bitwise_xor.reduceat(shingles, first)
-        rare = np.minimum.reduceat(common, first)
+        several = np.minimum(np.diff(np.append(first, n)), 4).astype(np.uint64) - np.uint64(1)
+        rare = np.minimum.reduceat(common, first) + np.uint64(6) - np.uint64(2) * several
         with np.errstate(over="ignore"):
             keys = mix(values + mix(cell[first] + np.uint64(band << 40)))
         if len(keys) < keep:  # too many empty cells for the principle: such documents of a band all meet
@@ -199,82 +202,114 @@ def _keys(work: DataFrame, classes: np.ndarray, size: int, percent: int) -> Data
     return work.mapInArrow(run, "key long, doc_id long")
 
 
+def _members(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of groups with several distinct ids, sorted by (key, id), without repeats."""
+    order = np.lexsort((ids, key))
+    key, ids = key[order], ids[order]
+    fresh = np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]))[: len(key)]
+    key, ids = key[fresh], ids[fresh]
+    same = key[1:] == key[:-1]
+    wide = np.append(same, False)[: len(key)] | np.append(False, same)[: len(key)]
+    return key[wide], ids[wide]
+
+
 def _groups(keys: DataFrame) -> DataFrame:
     """Rows (kind, key, a, b): kind 0, first member a with another member b; kind 1, member a of a group of three or more.
 
-    Rows come sorted by key, so an open group is all that a task holds, and of a long one only its first member.
+    Rows come sorted by key; a task holds some hundred thousand rows at a time, and of a longer group only its first member.
     """
     schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-    long_group, most_seen = 100_000, 500_000
+    held_rows, most_seen = HELD_ROWS, 500_000
 
     def run(batches):
-        rows: list[tuple] = []
         seen: set = set()
 
-        def close(key: int, members: np.ndarray, first: int | None) -> None:
-            """``first``: of a long group whose earlier members are out already."""
-            members = np.unique(members)
-            if first is None and len(members) < 2:
-                return
-            lead = int(members[0]) if first is None else first
+        def out(key: np.ndarray, ids: np.ndarray, lead: tuple[int, int] | None):
+            """Of whole groups; ``lead``: key and first member of a group whose earlier rows are out already."""
+            if lead is not None:  # as if the first member came again
+                key, ids = np.append(lead[0], key), np.append(lead[1], ids)
+            key, ids = _members(key, ids)
+            if not len(key):
+                return None
+            first = np.append(True, key[1:] != key[:-1])
+            start = np.nonzero(first)[0]
+            size = np.diff(np.append(start, len(key)))
+            leads = ids[np.repeat(start, size)]
+            if lead is not None:
+                leads[key == lead[0]] = lead[1]
+            pairs = np.stack([leads, ids], axis=1)[leads != ids]
+            pairs = np.unique(pairs, axis=0)
+            fresh = [p for p in map(tuple, pairs.tolist()) if p not in seen]
             if len(seen) > most_seen:
                 seen.clear()
-            for b in members.tolist():
-                if b != lead and (lead, b) not in seen:
-                    seen.add((lead, b))
-                    rows.append((0, 0, lead, b))
-            if first is not None or len(members) > 2:
-                name = key
-                if first is None and len(members) <= 1000:  # groups of the same members are one
-                    name = int(mix(np.array([len(members)], np.uint64) + np.bitwise_xor.reduce(mix(members.view(np.uint64)))).view(np.int64)[0])
-                    if name in seen:
-                        return
-                    seen.add(name)
-                rows.extend((1, name, m, None) for m in members.tolist())
-
-        def batch_of():
-            columns = list(zip(*rows))
-            rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-
-        open_key, open_ids, first = None, np.zeros(0, np.int64), None
+            seen.update(fresh)
+            # groups of the same members are one
+            with np.errstate(over="ignore"):
+                name = mix(np.add.reduceat(mix(ids.view(np.uint64)), start) + size.astype(np.uint64)).view(np.int64)
+            large = size > 2
+            if lead is not None:
+                ours = key[start] == lead[0]
+                large |= ours
+                name[ours] = lead[0]
+            kept = []
+            for g in np.nonzero(large)[0].tolist():
+                if name[g] == key[start[g]] or int(name[g]) not in seen:
+                    seen.add(int(name[g]))
+                    kept.append(g)
+            rows = np.concatenate([np.arange(start[g], start[g] + size[g]) for g in kept]) if kept else np.zeros(0, np.int64)
+            names = np.concatenate([np.full(size[g], name[g]) for g in kept]) if kept else np.zeros(0, np.int64)
+            n, m = len(fresh), len(rows)
+            ab = np.array(fresh, dtype=np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(np.array([0, 1], np.int32), [n, m])),
+                    pa.array(np.concatenate([np.zeros(n, np.int64), names])),
+                    pa.array(np.concatenate([ab[:, 0], ids[rows]])),
+                    pa.array(np.concatenate([ab[:, 1], np.zeros(m, np.int64)])),
+                ],
+                schema=schema,
+            )
+
+        key, ids, lead = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
+
+        def cut(last: bool):
+            """Give out what is held, but for the open group; of one that fills all, all but its first member."""
+            nonlocal key, ids, lead, parts, held
+            key = np.concatenate([key, *[k for k, _ in parts]])
+            ids = np.concatenate([ids, *[i for _, i in parts]])
+            parts, held = [], 0
+            end = len(key) if last or not len(key) else int(np.searchsorted(key, key[-1]))
+            if lead is not None and len(key) and key[0] != lead[0]:
+                lead = None
+            begun = None
+            if end == 0 and len(key):  # one long group
+                begun, end = lead or (int(key[0]), int(ids[0])), len(key)
+            done = out(key[:end], ids[:end], lead or begun)
+            key, ids = key[end:], ids[end:]
+            lead = begun
+            return done
+
         for batch in batches:
-            key = batch.column("key").to_numpy()
-            ids = batch.column("doc_id").to_numpy()
-            if not len(key):
-                continue
-            bounds = np.concatenate([[0], np.nonzero(key[1:] != key[:-1])[0] + 1, [len(key)]])
-            if key[0] == open_key:
-                open_ids = np.concatenate([open_ids, ids[: bounds[1]]])
-            else:
-                if open_key is not None:
-                    close(open_key, open_ids, first)
-                open_key, open_ids, first = int(key[0]), ids[: bounds[1]], None
-            if len(bounds) > 2:
-                close(open_key, open_ids, first)
-                wide = np.nonzero(np.diff(bounds[1:-1]) > 1)[0] + 1
-                for g in wide.tolist():
-                    close(int(key[bounds[g]]), ids[bounds[g] : bounds[g + 1]], None)
-                open_key, open_ids, first = int(key[bounds[-2]]), ids[bounds[-2] :], None
-            if len(open_ids) > long_group:
-                close(open_key, open_ids, first if first is not None else int(open_ids[0]))
-                first, open_ids = int(open_ids[0]) if first is None else first, np.zeros(0, np.int64)
-            if len(rows) > 20_000:
-                yield batch_of()
-        if open_key is not None:
-            close(open_key, open_ids, first)
-        if rows:
-            yield batch_of()
+            parts.append((batch.column("key").to_numpy(), batch.column("doc_id").to_numpy()))
+            held += batch.num_rows
+            if held > held_rows:
+                if (done := cut(False)) is not None:
+                    yield done
+        if (done := cut(True)) is not None:
+            yield done
 
     dealt = keys.repartition("key").sortWithinPartitions("key", "doc_id")
     return saved(dealt.mapInArrow(run, "kind int, key long, a long, b long"), "cell-groups")
 
 
 def _near(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, na, nb, sa, sb) that sizes and bit sketches allow."""
+    """Of (a, b, na, nb, sa, sb) the pairs that sizes and bit sketches allow, with their distance."""
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     distance = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    return pairs.where(small * 100 >= large * percent).where(distance * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b")
+    far = pairs.where(small * 100 >= large * percent).select("a", "b", (F.col("na") + F.col("nb")).alias("size"), distance.alias("distance"))
+    return far.where(F.col("distance") * (100 + percent) <= F.col("size") * (100 - percent)).select("a", "b", "distance")
 
 
 def _sets(work: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -343,8 +378,30 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return saved(joined.select("a", "b", "da", "db").mapInArrow(run, "a long, b long"), "similar-pairs")
 
 
+def near_pairs(rep, component, n, bits, own, i: int, j: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of pairs across components that sizes and sketches allow, between blocks i and j of one group."""
+    left, right = np.nonzero(own == i)[0], np.nonzero(own == j)[0]
+    x_all, y_all = [], []
+    for a in range(0, len(left), 64):
+        x = left[a : a + 64, None]
+        small, large = np.minimum(n[x], n[right]), np.maximum(n[x], n[right])
+        ok = (component[right] != component[x]) & (small * 100 >= large * percent)
+        if i == j:
+            ok &= rep[x] < rep[right]
+        p, q = np.nonzero(ok)
+        p, q = left[a + p], right[q]
+        far = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
+        near = far * (100 + percent) <= (n[p] + n[q]) * (100 - percent)
+        x_all.append(p[near])
+        y_all.append(q[near])
+    return np.concatenate(x_all or [left[:0]]), np.concatenate(y_all or [left[:0]])
+
+
 def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components within a group, by blocks of bounded size."""
+    """Pairs (a, b) of different components within a group (key, rep, component, n, sketch), by blocks of bounded size.
+
+    Blocks come sorted, so a task holds one pair of blocks at a time.
+    """
     sizes = members.groupBy("key").agg(F.count("rep").alias("rows"), F.min("component").alias("c1"), F.max("component").alias("c2"))
     open_groups = sizes.where(F.col("c1") != F.col("c2")).select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
     dealt = (
@@ -356,23 +413,47 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
     )
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs(t: pa.Table) -> pa.Table:
-        rep, comp, n = (t.column(c).to_numpy() for c in ("rep", "component", "n"))
-        own, i, j = t.column("own").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        bits = np.array(t.column("sketch").to_pylist(), dtype=np.int64).view(np.uint64)
-        left, right = np.nonzero(own == i)[0], np.nonzero(own == j)[0]
-        a, b = [], []
-        for x in left:
-            small, large = np.minimum(n[x], n[right]), np.maximum(n[x], n[right])
-            ok = (comp[right] != comp[x]) & (small * 100 >= large * percent) & ((rep[x] < rep[right]) | (i != j))
-            ok = right[ok]
-            far = np.bitwise_count(bits[ok] ^ bits[x]).sum(axis=1, dtype=np.int64)
-            ok = ok[far * (100 + percent) <= (n[x] + n[ok]) * (100 - percent)]
-            a.append(np.minimum(rep[x], rep[ok]))
-            b.append(np.maximum(rep[x], rep[ok]))
-        return pa.table([pa.array(np.concatenate(a) if a else np.zeros(0, np.int64)), pa.array(np.concatenate(b) if b else np.zeros(0, np.int64))], schema=schema)
-
-    return dealt.select("key", "i", "j", "own", "rep", "component", "n", "sketch").groupBy("key", "i", "j").applyInArrow(pairs, "a long, b long").distinct()
+    def run(batches):
+        open_rows: list[tuple[np.ndarray, ...]] = []
+        open_key: tuple[int, ...] | None = None
+
+        def pairs():
+            rep, component, n, own, bits = (np.concatenate(c) for c in zip(*open_rows))
+            return rep, near_pairs(rep, component, n, bits, own, open_key[1], open_key[2], percent)
+
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def close():
+            if open_rows:
+                rep, (p, q) = pairs()
+                if len(p):
+                    found.append((np.minimum(rep[p], rep[q]), np.maximum(rep[p], rep[q])))
+                open_rows.clear()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, i, j = (batch.column(c).to_numpy() for c in ("key", "i", "j"))
+            rep, component, n, own = (batch.column(c).to_numpy() for c in ("rep", "component", "n", "own"))
+            bits = batch.column("sketch").flatten().to_numpy().view(np.uint64).reshape(len(rep), -1)
+            new = np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
+            bounds = np.append(np.nonzero(new)[0], len(key)).tolist()
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                name = (int(key[a]), int(i[a]), int(j[a]))
+                if name != open_key:
+                    close()
+                    open_key = name
+                open_rows.append((rep[a:b], component[a:b], n[a:b], own[a:b], bits[a:b]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], schema=schema)
+                found.clear()
+        close()
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], schema=schema)
+
+    columns = ["key", "i", "j", "own", "rep", "component", "n", "sketch"]
+    blocks = dealt.select(*columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return blocks.mapInArrow(run, "a long, b long").distinct()
 
 
 def similar_documents(
@@ -382,7 +463,7 @@ def similar_documents(
     work = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     first = _first_pass(work, size)
     counts = _merge_pieces(first.where("piece is not null"), np.add, "<u4")
-    classes = np.ceil(np.log2(counts.astype(np.float64) + 1)).astype(np.uint8) if len(counts) else np.zeros(1 << COUNT_BITS, np.uint8)
+    classes = np.ceil(4 * np.log2(counts.astype(np.float64) + 1)).astype(np.uint8) if len(counts) else np.zeros(1 << COUNT_BITS, np.uint8)
     rows = first.where("piece is null").drop("piece", "data")
 
     alive = rows.where("doc_id is not null and n > 0")
@@ -407,20 +488,35 @@ def similar_documents(
     )
     tried = saved(_near(tried.join(facts("a", "na", "sa"), "a").join(facts("b", "nb", "sb"), "b"), percent), "first-pairs")
     in_groups = groups.where("kind = 1").select("key", F.col("a").alias("doc_id")).join(rep_of, "doc_id").select("key", "rep").distinct()
-    members = saved(in_groups, "group-members")
-    wanted = tried.select(F.col("a").alias("doc_id")).unionByName(tried.select(F.col("b").alias("doc_id"))).unionByName(members.select(F.col("rep").alias("doc_id"))).distinct()
-    sets = _sets(work, wanted, size)
 
-    links = _verified(tried, sets, percent)
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+
+    def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """The pairs whose ends have different components."""
+        named = labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+        both = pairs.join(named[0], "a", "left").join(named[1], "b", "left")
+        return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+    sets = _sets(work, ends(tried), size)
+    nearest = tried.groupBy("b").agg(F.min_by("a", "distance").alias("a")).select("a", "b")
+    links = _verified(nearest, sets, percent)
     labels = components(links)
+    more = _verified(saved(across(tried.select("a", "b"), labels), "open-pairs"), sets, percent)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = components(links)
     marked = (
-        members.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
+        in_groups.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep"))
         .join(classes_of.select("rep", "n", "sketch"), "rep")
     )
-    more = _verified(saved(_across(marked, percent), "second-pairs"), sets, percent)
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    second = saved(_across(marked, percent).join(tried, ["a", "b"], "left_anti"), "second-pairs")
+    rest = ends(second).join(sets.select("doc_id"), "doc_id", "left_anti")
+    if not second.isEmpty():
+        more = _verified(second, sets.unionByName(_sets(work, rest, size)), percent)
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
 
     named = (
         classes_of.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
