@@ -109,6 +109,32 @@ def test_groups_over_several_blocks(spark, monkeypatch):
     assert got == {(a, b) for a in range(15) for b in range(a + 1, 15)}
 
 
+@pytest.mark.parametrize("held", [2, 7, 1000])
+def test_groups_longer_than_a_task_holds(spark, monkeypatch, held):
+    """However rows are cut, a first member meets all others, and groups of three or more are listed whole."""
+    monkeypatch.setattr(J, "HELD_ROWS", held)
+    rng = random.Random(held)
+    rows = [(rng.randrange(40), rng.randrange(30)) for _ in range(150)] + [(99, k) for k in range(60)] + [(98, 5)] * 9
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = J._groups(spark.createDataFrame(rows, "key long, doc_id long")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    pairs = {(r.a, r.b) for r in got if r.kind == 0}
+    listed = {}
+    for r in got:
+        if r.kind == 1:
+            listed.setdefault(r.key, set()).add(r.a)
+    groups = {}
+    for k, d in rows:
+        groups.setdefault(k, set()).add(d)
+    for members in groups.values():
+        lead = min(members)
+        assert {(lead, m) for m in members if m != lead} <= pairs
+        assert len(members) < 3 or any(members <= m for m in listed.values())
+    assert pairs <= {(min(m), x) for m in groups.values() for x in m}
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(20, 60)] + [(100, k) for k in range(101, 130)] + [(5, 100), (7, 6), (9, 8)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
