@@ -181,7 +181,10 @@ def train(
         model.means.append(m)
         model.factors.append(np.linalg.inv(factor))
         model.log_dets.append(2 * float(np.log(np.diag(factor)).sum()))
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_tempered).select("x", "label").collect()
+    part = int(min(1.0, max_tempered / sum(counts)) * (1 << 20))  # about max_tempered rows, chosen by the hash of their id
+    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < part).select("x", "label").collect()
+    if not sample:
+        return model
     odds, label = model.odds(np.array([r.x for r in sample])), np.array([r.label for r in sample])
     grid = np.geomspace(0.02, 1.5, 60)
     odds, loss = np.clip(odds, -1e3, 1e3), []
