@@ -21,7 +21,6 @@ Defined results
 from __future__ import annotations
 
 import html as entities
-import math
 import re
 
 import numpy as np
