@@ -1,7 +1,7 @@
 """Trade message sources.
 
 Messages are JSON text in a ``value`` column, whether they come from Kafka
-(``sources.kafka``), from text files (``read_messages``), or from a stream of
+(``sources.kafka``), from text files (``spark.read.text``), or from a stream of
 either. The test tables are shaped into messages here so that the whole path,
 text -> VARIANT -> typed trade, runs on data that grows with the tables:
 
@@ -21,11 +21,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    """One message per line of text files under ``path`` -> column ``value``."""
-    return spark.read.text(path)
-
-
 def spread(messages: DataFrame, partitions: int) -> DataFrame:
     """Deal messages over ``partitions`` tasks before CPU-heavy work: a round-robin
     shuffle of the raw text, for sources of few partitions (one unsplittable file, a
