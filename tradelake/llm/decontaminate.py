@@ -5,9 +5,11 @@ Method. Documents are cut into passages of 32 words. Three passes over all docum
 passages (each task adds ``A^T A`` times a fixed random matrix, the driver gets that sketch of
 fixed size and takes its Nystroem eigenpairs); 3. every passage, at a stride of 16 words, is
 projected and scaled by the singular values, and compared by cosine with the passages of the
-benchmark items. Pairs above a low cosine are candidates: those that share enough words are
-aligned with the item by longest common subsequence. An item leaks if most of its words are
-there in order, or fewer of them together with its answer (its last words) in one piece.
+benchmark items. Pairs that do not point apart and share enough rarer words are candidates. Those
+around which enough of the item's words stand at all, in whatever order (a bound that loses
+none), are aligned with the item by longest common subsequence. An item leaks if most of its
+words are there in order, or fewer of them together with its answer (its last words) in one
+piece.
 
 Benchmark items are a query set: they go against all rows in blocks of a fixed size.
 
@@ -37,10 +39,14 @@ LEADING = 8
 PASSAGE, STRIDE = 32, 16
 #: A batch of documents holds about this many words.
 BATCH_WORDS = 40_000
-#: A candidate: cosine, then the share of the item passage's rarer words that the passage holds.
-COSINE, SHARED = 0.2, 0.5
+#: A candidate: cosine, then how many of the item passage's rarer words the passage holds. Of a
+#: leak's words it holds by the leak rule PARAPHRASED x COVERED (the worst place at the stride), less
+#: so many standard deviations, as the words that were replaced may be the rarer ones.
+COSINE, COVERED, DEVIATIONS = -0.1, 0.75, 1.5
 #: A leak: share of the item's words in order; the lower one only together with the answer.
 COPIED, PARAPHRASED = 0.75, 0.55
+#: Items of more words are aligned without counting their words first.
+SHORT = 256
 #: Terms in a larger share of documents than this don't count as rarer words.
 COMMON = 0.05
 ITEMS_PER_BLOCK = 4096
@@ -217,6 +223,28 @@ def passages_of(group: list[tuple[int, np.ndarray]], table: np.ndarray, rarer: n
     return vectors, both, doc[first], STRIDE * number[first]
 
 
+def enough_of(rarer: np.ndarray) -> np.ndarray:
+    """How many of so many rarer words a candidate must share; none if there are only a few."""
+    share = PARAPHRASED * COVERED
+    return np.ceil((share * rarer - DEVIATIONS * np.sqrt(share * (1 - share) * rarer)).clip(0)).astype(np.float32)
+
+
+def _as_floats(bits: np.ndarray) -> np.ndarray:
+    """The 256 bits of each row as numbers, so that a product of matrices counts those that two rows share."""
+    return np.unpackbits(bits.view(np.uint8), axis=1).astype(np.float32)
+
+
+def present_around(rows: np.ndarray, doc: np.ndarray, first: np.ndarray, reach: int) -> np.ndarray:
+    """For each passage the terms that its document holds from ``reach`` rows before it to ``reach`` rows after."""
+    out = np.zeros((len(first), TERMS + 1), dtype=bool)
+    for step in range(-reach, reach + 2):
+        at = first + step
+        inside = (at >= 0) & (at < len(rows))
+        inside[inside] = doc[at[inside]] == doc[first[inside]]
+        out[np.nonzero(inside)[0][:, None], rows[at[inside]]] = True
+    return out
+
+
 def places_of(words: list[bytes]) -> dict[bytes, int]:
     """The places of each word, as the bits of a number."""
     at: dict[bytes, int] = {}
@@ -261,9 +289,27 @@ class Items:
         if group:
             self.vectors, self.bits, owner, _ = passages_of(group, table, rarer)
             self.owner = np.array([k for k, _ in group])[owner]
-            self.enough = np.ceil(SHARED * np.bitwise_count(self.bits).sum(axis=1, dtype=np.int64))
+            self.held = np.ascontiguousarray(_as_floats(self.bits).T)
+            self.enough = enough_of(np.bitwise_count(self.bits).sum(axis=1, dtype=np.int64))
+            self.length = np.array([len(w) for w in self.words], dtype=np.int64)
+            self.start = np.cumsum(self.length) - self.length
+            self.terms = np.concatenate([t for _, t in group])
+            self.reach = -(-min(SHORT, int(self.length.max())) // STRIDE)
         self.empty = not group
 
+    def may_align(self, present: np.ndarray, p: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Whether enough of each item's words stand, in whatever order, around row ``p`` of ``present``."""
+        out = np.ones(len(p), dtype=bool)
+        short = np.nonzero(self.length[item] <= SHORT)[0]
+        for a in range(0, len(short), 8192):
+            k = short[a : a + 8192]
+            n = self.length[item[k]]
+            first = np.cumsum(n) - n
+            at = np.arange(n.sum()) + np.repeat(self.start[item[k]] - first, n)
+            hits = present[np.repeat(p[k], n), self.terms[at]]
+            out[k] = np.add.reduceat(hits, first, dtype=np.int64) / n >= PARAPHRASED
+        return out
+
     def search(self, group: list[tuple[int, np.ndarray]], text_at) -> dict[int, dict]:
         """index -> {item id: ratio} for a group of (index, terms)."""
         found: dict[int, dict] = {}
@@ -271,15 +317,19 @@ class Items:
         if self.empty or not group:
             return found
         vectors, bits, doc, word = passages_of(group, self.table, self.rarer)
+        rows, doc_of_row, _ = _padded(group)
+        first, _ = _passages(doc_of_row)
         words: dict[int, list[bytes]] = {}
-        for at in range(0, len(doc), 4096):
-            p, q = np.nonzero(vectors[at : at + 4096] @ self.vectors.T >= COSINE)
-            p += at
-            count = np.zeros(len(p), dtype=np.uint8)
-            for k in range(4):
-                count += np.bitwise_count(bits[p, k] & self.bits[q, k])
-            shared = count >= self.enough[q]
-            for p, item in sorted(set(zip(p[shared].tolist(), self.owner[q[shared]].tolist()))):
+        for at in range(0, len(doc), 1024):
+            candidate = vectors[at : at + 1024] @ self.vectors.T >= COSINE
+            candidate &= _as_floats(bits[at : at + 1024]) @ self.held >= self.enough
+            p, q = np.nonzero(candidate)
+            if not len(p):
+                continue
+            pairs = np.unique(p * len(self.words) + self.owner[q])
+            p, items = pairs // len(self.words), pairs % len(self.words)
+            may = self.may_align(present_around(rows, doc_of_row, first[at : at + 1024], self.reach), p, items)
+            for p, item in zip((p[may] + at).tolist(), items[may].tolist()):
                 index = group[doc[p]][0]
                 if index not in words:
                     words[index] = words_of(text_at(index))
