@@ -138,6 +138,13 @@ def test_main_text():
     assert main_text(f"<article><p>{long}</p></article>") == long
 
 
+def test_only_the_attribute_itself_hides():
+    shown = '<body class="overflow-hidden"><div aria-hidden="false" data-title="hidden gems"><p>Shown text, with signs.</p></div>'
+    assert main_text(shown) == "Shown text, with signs."
+    for attribute in ("hidden", "HIDDEN", 'id="x" hidden', "hidden='until-found'", 'style="display: none"'):
+        assert main_text(f"<article><p>Shown text, with signs.</p><p {attribute}>Not this, no.</p></article>") == "Shown text, with signs.", attribute
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "t", "r"), (None, None, None, "t", "r"), (1, "u", PAGE, "t", "r")], "page_id long, url string, html string, text string, row string")
     got = extract(df)

@@ -52,7 +52,7 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？…]")
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>""", re.S)
-_ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 SMOOTHING = np.array([0.25, 0.5, 0.25])
@@ -150,8 +150,6 @@ def blocks_of(page: str) -> tuple[list[tuple[int, str, int]], _Paths]:
                 if stack[-1][0] == other:
                     close(other)
             attributes = {a.lower(): b or c or d or "" for a, b, c, d in _ATTRIBUTE.findall(m.group(3))} if m.group(3) else {}
-            if m.group(3) and re.search(r"\bhidden\b", m.group(3)):
-                attributes.setdefault("hidden", "")
             stack.append((tag, paths.child(stack[-1][1], tag, attributes)))
             open_tags[tag] = open_tags.get(tag, 0) + 1
     end_block()
