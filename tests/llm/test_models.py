@@ -145,6 +145,14 @@ def test_only_the_attribute_itself_hides():
         assert main_text(f"<article><p>Shown text, with signs.</p><p {attribute}>Not this, no.</p></article>") == "Shown text, with signs.", attribute
 
 
+def test_linked_blocks_of_an_article_stay():
+    links = "".join(f'<li><a href="{i}">Reference number {i}, a paper.</a></li>' for i in range(3))
+    page = f'<nav><a href=1>Home</a></nav><article><h1><a href=2>Title</a></h1><p>{"Long text, with signs. " * 20}</p><h2><a href=3>Part</a></h2><p>More, here.</p><ol>{links}</ol></article>'
+    lines = main_text(page).split("\n")
+    assert lines[0] == "Title" and "Part" in lines and "Home" not in lines
+    assert lines[-3:] == [f"Reference number {i}, a paper." for i in range(3)]
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "t", "r"), (None, None, None, "t", "r"), (1, "u", PAGE, "t", "r")], "page_id long, url string, html string, text string, row string")
     got = extract(df)

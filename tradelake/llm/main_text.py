@@ -4,7 +4,8 @@ Method. A page is a sequence of text blocks, each at the end of a path of block
 the root. Per path, text length, punctuation and link text are summed over its blocks; length
 and punctuation per block are the path's ratios. The ratios are smoothed over neighbouring
 blocks, fused into one value (length times punctuation, less links, more inside an article), and
-paths above a share of the page's best value are content. Elements that by name, role or class
+paths above a share of the page's best value are content, as are an article's headings. Inside an
+article links lower a value only so far. Elements that by name, role or class
 are menus, headers, footers, sidebars, notices, adverts, forms or reader comments end a path
 with value 0, and scripts, styles and the like give no blocks.
 
@@ -56,6 +57,8 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 SMOOTHING = np.array([0.25, 0.5, 0.25])
+#: Links lower a value inside an article to this share at most: there they are seldom a menu.
+LINKED_IN_ARTICLE = 0.5
 IN_ARTICLE, SHARE_WITH_ARTICLE, SHARE_WITHOUT = 8.0, 0.05, 0.25
 
 
@@ -66,6 +69,7 @@ class _Paths:
         self.known: dict[tuple[int, str], int] = {}
         self.dropped = [False]
         self.article = [False]
+        self.heading = [False]
 
     def child(self, parent: int, tag: str, attributes: dict[str, str]) -> int:
         marks = f"{attributes.get('class', '')} {attributes.get('id', '')}" if attributes else ""
@@ -81,6 +85,7 @@ class _Paths:
             self.known[key] = len(self.dropped)
             self.dropped.append(drop)
             self.article.append(inside)
+            self.heading.append(self.heading[parent] or tag in HEADINGS)
         return self.known[key]
 
 
@@ -168,6 +173,7 @@ def main_text(page: str | None) -> str:
     linked = np.bincount(place, weights=[b[2] for b in blocks]) / count / length
     dropped = np.array([paths.dropped[k] for k in known])
     article = np.array([paths.article[k] for k in known])
+    heading = article & ~dropped & np.array([paths.heading[k] for k in known])
 
     def smooth(ratios: np.ndarray) -> np.ndarray:
         """Over neighbouring blocks that may be content, and back to a mean per path."""
@@ -178,11 +184,11 @@ def main_text(page: str | None) -> str:
             out += np.bincount(place[open_blocks], weights=np.convolve(padded, SMOOTHING, "valid"), minlength=len(known)) / count
         return out
 
-    value = smooth(np.log1p(length)) * (1 + smooth(np.log1p(signs))) * (1 - linked)
+    value = smooth(np.log1p(length)) * (1 + smooth(np.log1p(signs))) * np.where(article, np.maximum(1 - linked, LINKED_IN_ARTICLE), 1 - linked)
     value = np.where(dropped, 0.0, value * np.where(article, IN_ARTICLE, 1.0))
     best = float(value.max())
     share = SHARE_WITH_ARTICLE if (article & ~dropped).any() else SHARE_WITHOUT
-    keep = (value > 0) & (value >= share * best)
+    keep = heading | ((value > 0) & (value >= share * best))
     return "\n".join(b[1] for b, k in zip(blocks, place) if keep[k])
 
 
