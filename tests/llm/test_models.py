@@ -153,6 +153,20 @@ def test_linked_blocks_of_an_article_stay():
     assert lines[-3:] == [f"Reference number {i}, a paper." for i in range(3)]
 
 
+def test_marked_wrappers_of_the_article_stay():
+    text = "Long text, with signs. " * 10
+    line = text.strip()
+    for name in ("content has-sidebar", "layout-no-sidebar", "post with-comments", "page-has-banner", "withSidebar", "social-sciences", "response-time"):
+        assert main_text(f'<div class="{name}"><p>{text}</p></div><div><p>{text}</p></div>') == f"{line}\n{line}", name
+    rest = '<div class="ad">Buy this, now.</div><ol class="comments"><li><article class="comment">So true, yes.</article></li></ol>'
+    for inner in ("article", "main"):
+        assert main_text(f'<div class="sidebar-layout"><{inner}><p>{text}</p>{rest}</{inner}></div>{rest}') == line, inner
+    assert main_text(f'<div class="widget"><div><p>{text}</p></div></div><div class="ad">Buy this, now.</div>') == line
+    assert main_text(f'<article><p>{text}</p></article><div class="related"><article>{text * 9}</article></div>') == line
+    assert main_text(f'<p>{text}</p><div class="comments"><p>{text * 9}</p></div>') == line
+    assert main_text('<div class="widget">' * 20_000 + text) == line
+
+
 def test_extract(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "t", "r"), (None, None, None, "t", "r"), (1, "u", PAGE, "t", "r")], "page_id long, url string, html string, text string, row string")
     got = extract(df)

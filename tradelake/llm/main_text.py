@@ -7,7 +7,8 @@ blocks, fused into one value (length times punctuation, less links, more inside
 paths above a share of the page's best value are content, as are an article's headings. Inside an
 article links lower a value only so far. Elements that by name, role or class
 are menus, headers, footers, sidebars, notices, adverts, forms or reader comments end a path
-with value 0, and scripts, styles and the like give no blocks.
+with value 0, and scripts, styles and the like give no blocks. A class drops no wrapper that holds
+the page's main or article element or, without one, most of its unlinked text.
 
 Every page is one row's work: no shuffle.
 
@@ -46,6 +47,13 @@ MARKS = frozenset(
     newsletter subscribe signup login share sharing social comment comments commentlist disqus reply replies respond form search pagination
     pager toolbar""".split()
 )
+#: After these a class names what is there or missing beside an element, not the element itself.
+BESIDE = frozenset("has with no without".split())
+#: Words that may follow "social" in the class of a bar of links.
+SOCIAL = MARKS | frozenset("media links link icons icon buttons button bar list follow network networks profiles wrapper container".split())
+#: Wrappers so marked are never content for the amount of their text; an article so marked is a comment.
+NEVER_LIFTED = frozenset("cookie cookies consent comment comments commentlist disqus reply replies respond".split())
+COMMENT = frozenset("comment reply respond".split())
 ARTICLE = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag of the first kind ends an open element of the second.
@@ -62,6 +70,19 @@ LINKED_IN_ARTICLE = 0.5
 IN_ARTICLE, SHARE_WITH_ARTICLE, SHARE_WITHOUT = 8.0, 0.05, 0.25
 
 
+def marks_of(names: str) -> set[str]:
+    """The marks among the parts of classes and ids."""
+    found = set()
+    for name in names.split():
+        parts = [p.lower() for p in _PART.findall(name)]
+        for part, after in zip(parts, [*parts[1:], "social"]):
+            if part in BESIDE:
+                break
+            if part in MARKS and (part != "social" or after in SOCIAL):
+                found.add(part)
+    return found
+
+
 class _Paths:
     """Paths as numbers: a child is found by its parent and step."""
 
@@ -70,6 +91,9 @@ class _Paths:
         self.dropped = [False]
         self.article = [False]
         self.heading = [False]
+        self.parent = [0]
+        self.element = [""]  # article or main, but for an article that is a comment
+        self.marked: dict[int, set[str]] = {}
 
     def child(self, parent: int, tag: str, attributes: dict[str, str]) -> int:
         marks = f"{attributes.get('class', '')} {attributes.get('id', '')}" if attributes else ""
@@ -77,17 +101,60 @@ class _Paths:
         hidden = bool(attributes) and ("hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", ""))
         key = (parent, f"{tag} {marks} {role}{' hidden' if hidden else ''}")
         if key not in self.known:
-            inside = self.article[parent] or tag in ARTICLE
+            path = self.known[key] = len(self.dropped)
             drop = self.dropped[parent] or hidden or tag in NOT_CONTENT or role.lower() in ROLES
             drop = drop or (tag == "header" and not self.article[parent])
-            if marks.strip() and tag not in ("html", "body", "article", "main") and tag not in HEADINGS:
-                drop = drop or not MARKS.isdisjoint(p.lower() for p in _PART.findall(marks))
-            self.known[key] = len(self.dropped)
+            found = marks_of(marks) if marks.strip() else set()
+            if found and tag not in ("html", "body", "article", "main") and tag not in HEADINGS:
+                self.marked[path] = found
             self.dropped.append(drop)
-            self.article.append(inside)
+            self.article.append(self.article[parent] or tag in ARTICLE)
             self.heading.append(self.heading[parent] or tag in HEADINGS)
+            self.parent.append(parent)
+            self.element.append(tag if tag in ARTICLE and found.isdisjoint(COMMENT) else "")
         return self.known[key]
 
+    def drop_marked(self, blocks: list[tuple[int, str, int]]) -> None:
+        """Drop paths with a marked element, but for wrappers of the page's main or article element or of most of its text.
+
+        An article counts only if none is outside marked elements, the amount of text only if there is
+        no article: others are teasers and notices.
+        """
+        if not self.marked:
+            return
+        n = len(self.parent)
+        unlinked, shown = [0] * n, [False] * n
+        holds: dict[str, list[bool]] = {tag: [False] * n for tag in ARTICLE}
+        open_paths = {path for path, _, _ in blocks if not self.dropped[path]}
+        for path, text, linked in blocks:
+            if path in open_paths:
+                unlinked[path] += len(text) - linked
+                shown[path] = True
+        for path in range(n - 1, 0, -1):  # a child's number is larger than its parent's
+            up = self.parent[path]
+            unlinked[up] += unlinked[path]
+            shown[up] = shown[up] or shown[path]
+            for tag, inside in holds.items():
+                inside[up] = inside[up] or inside[path] or (shown[path] and self.element[path] == tag)
+        lifted: set[int] = set()
+
+        def closed() -> list[bool]:
+            out = [False] * n
+            for path in range(1, n):
+                out[path] = out[self.parent[path]] or (path in self.marked and path not in lifted)
+            return out
+
+        def found() -> bool:
+            out = closed()
+            return any(self.article[path] and not out[path] for path in open_paths)
+
+        lifted.update(path for path in self.marked if holds["main"][path])
+        if not found():
+            lifted.update(path for path in self.marked if holds["article"][path])
+        if not found():
+            lifted.update(path for path, marks in self.marked.items() if marks.isdisjoint(NEVER_LIFTED) and 2 * unlinked[path] > unlinked[0])
+        self.dropped = [a or b for a, b in zip(self.dropped, closed())]
+
 
 def blocks_of(page: str) -> tuple[list[tuple[int, str, int]], _Paths]:
     """(path, text, characters within links) of each block with text, in page order."""
@@ -158,6 +225,7 @@ def blocks_of(page: str) -> tuple[list[tuple[int, str, int]], _Paths]:
             stack.append((tag, paths.child(stack[-1][1], tag, attributes)))
             open_tags[tag] = open_tags.get(tag, 0) + 1
     end_block()
+    paths.drop_marked(out)
     return out, paths
 
 
