@@ -7,6 +7,7 @@ import hashlib
 import numpy as np
 import pytest
 
+from tradelake.llm import exact_dedup
 from tradelake.llm.exact_dedup import build_hash, deduplicate, find_slots
 from tradelake.llm.line_dedup import drop_repeated_lines
 from tradelake.llm.warc import parse_records, read_warc, resolve_revisits, write_warc
@@ -73,6 +74,20 @@ def test_minimal_perfect_hash():
     assert build_hash([])[0] == []
 
 
+def test_a_first_load_is_dealt_into_groups(spark, monkeypatch):
+    merge = exact_dedup._merge
+
+    def small(index, batch):
+        assert batch.num_rows < 4000, batch.num_rows
+        return merge(index, batch)
+
+    monkeypatch.setattr(exact_dedup, "_merge", small)
+    batch = spark.range(12_000).selectExpr("id AS doc_id", "concat('text ', id % 11000) AS text")
+    for history in (batch.limit(0), spark.createDataFrame([(-5, "text 3")], "doc_id long, text string")):
+        got = deduplicate(history, batch)
+        assert got.count() == 12_000 + history.count() and got.where("kept").count() == 11_000
+
+
 def test_exact_dedup_against_brute_force(spark):
     texts = [None, "", "a", "A", "a ", "b", "b"] + ["hot"] * 40 + [f"t{i % 13}" for i in range(40)]
     rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, "a", "x"), (None, "only null", "x"), (5, "b", "x")]

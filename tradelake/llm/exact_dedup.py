@@ -5,9 +5,10 @@ each bucket gets a minimal perfect hash (bit arrays by level, keys that collide
 next level, a key's slot is the rank of its bit). Slots hold full digests and the locator of
 the row that stays. A new batch looks its distinct digests up: a slot's digest is compared
 byte by byte, so a nonmember is never taken for a member; nonmembers form groups of their own.
+There are buckets enough for the history's keys and for the batch's, whichever are more.
 
 Digests are pre-aggregated before every shuffle, so a text that a third of all rows share is
-one key. Nothing but the number of distinct digests reaches the driver.
+one key. Nothing but the two numbers of distinct digests reaches the driver.
 
 Defined results
   null text        equals the empty text
@@ -132,20 +133,19 @@ def _merge(index: pa.Table, batch: pa.Table) -> pa.Table:
     )
 
 
-def _grouped(rows: DataFrame, buckets: int) -> DataFrame:
-    return (
-        rows.groupBy("digest")
-        .agg(F.max("doc_id").alias("winner"), F.sum("copies").alias("n"))
-        .withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)))
-    )
+def _distinct(rows: DataFrame, name: str) -> DataFrame:
+    return saved(rows.groupBy("digest").agg(F.max("doc_id").alias("winner"), F.sum("copies").alias("n")), name)
+
+
+def _dealt(distinct: DataFrame, buckets: int) -> DataFrame:
+    return distinct.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)))
 
 
-def build_index(history: DataFrame, keys_per_bucket: int = 2000) -> tuple[DataFrame, int]:
-    """The index table over ``history`` (doc_id, digest, copies) and its number of buckets."""
-    distinct = saved(history.groupBy("digest").agg(F.max("doc_id").alias("winner"), F.sum("copies").alias("n")), "history-digests")
-    buckets = max(1, -(-distinct.count() // keys_per_bucket))
-    dealt = distinct.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)))
-    return saved(dealt.groupBy("bucket").applyInArrow(_build, INDEX_SCHEMA), "history-index"), buckets
+def build_index(history: DataFrame, keys_per_bucket: int = 2000, batch_keys: int = 0) -> tuple[DataFrame, int]:
+    """The index table over ``history`` (doc_id, digest, copies) and its number of buckets, enough for ``batch_keys`` too."""
+    distinct = _distinct(history, "history-digests")
+    buckets = max(1, -(-max(distinct.count(), batch_keys) // keys_per_bucket))
+    return saved(_dealt(distinct, buckets).groupBy("bucket").applyInArrow(_build, INDEX_SCHEMA), "history-index"), buckets
 
 
 def deduplicate(history: DataFrame, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,8 +158,9 @@ def deduplicate(history: DataFrame, batch: DataFrame, id_col: str = "doc_id", te
         return df.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("copies"))
 
     old, new = saved(counted(rows(history)), "history-rows"), saved(counted(rows(batch)), "batch-rows")
-    index, buckets = build_index(old)
-    groups = index.groupBy("bucket").cogroup(_grouped(new, buckets).groupBy("bucket")).applyInArrow(_merge, GROUP_SCHEMA)
+    added = _distinct(new, "batch-digests")
+    index, buckets = build_index(old, batch_keys=added.count())
+    groups = index.groupBy("bucket").cogroup(_dealt(added, buckets).groupBy("bucket")).applyInArrow(_merge, GROUP_SCHEMA)
     every = old.unionByName(new).groupBy("doc_id", "digest").agg(F.sum("copies").alias("copies"))
     return (
         every.join(groups, "digest")
