@@ -47,6 +47,15 @@ def test_toxicity_tolerates_gaps_and_insertions(spark, toxic_model):
     assert max(by[t] for t in good) < 0.3 and by[None] < 0.3 and by[""] < 0.3
 
 
+def test_toxicity_joins_pieces_across_spaces_and_signs(spark, toxic_model):
+    rng = random.Random(19)
+    bad = [sentence(rng, w) for w in ("i - d - i - o - t", "* i * d * i * o * t *", "i. d. i. o. t", "id iot", "mor on")]
+    good = [sentence(rng) for _ in range(30)]
+    by = dict(zip(bad + good, toxic_model.scores(bad + good)))
+    assert min(by[t] for t in bad) >= 0.3, {t: by[t] for t in bad}
+    assert max(by[t] for t in good) < 0.3
+
+
 def test_folded_weights_equal_the_kernel_expansion():
     words = ["idiot", "moron", "window", "stones"]
     base = toxicity.dense(words)

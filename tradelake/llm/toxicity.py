@@ -4,7 +4,7 @@ Method. The sentences of labelled documents carry their document's label and are
 strings. The kernel compares two strings by the subsequences of three letters that they share,
 each weighted by ``DECAY`` to the length it spans, so letters between and around weaken a match
 but do not break it; signs between letters are gaps, look-alike digits are letters, and single
-letters set apart by spaces are joined first. Landmarks among the words give Nyström features,
+letters and neighbouring short pieces set apart by spaces and signs are joined first. Landmarks among the words give Nyström features,
 on which a support vector machine separates the words of toxic sentences from the others, the
 positive ones also with characters inserted; a second round adds the clean words that the first
 found most toxic. As the kernel is a product of subsequence weights, the machine folds into one
@@ -141,16 +141,30 @@ def disguised(word: str, rng: np.random.Generator) -> str:
 
 
 def strings_of(text: str | None) -> set[str]:
-    """Distinct words of a text, and runs of three or more single letters as one word each."""
+    """Distinct words of a text, and what spaces may have cut: runs of three or more single letters, neighbours of up to three letters.
+
+    Signs around short pieces and between them are left out.
+    """
     words = (text or "").lower().split()
     out = set(words)
-    single = [i for i, w in enumerate(words) if len(w) == 1 and w.isalnum()]
-    a = 0
-    for b in range(1, len(single) + 1):
-        if b == len(single) or single[b] != single[b - 1] + 1:
-            if b - a >= 3:
-                out.add("".join(words[single[a] : single[a] + b - a]))
-            a = b
+    single: list[str] = []
+    last = ""
+    for w in words:
+        piece = w if len(w) <= 3 and w.isalnum() else _EDGE.sub("", w) if len(w) <= 6 else w
+        if not piece:  # signs alone
+            continue
+        short = len(piece) <= 3 and piece.isalnum()
+        if len(piece) == 1 and short:
+            single.append(piece)
+        elif single:
+            if len(single) >= 3:
+                out.add("".join(single))
+            single = []
+        if short and last and len(last) + len(piece) >= 4:
+            out.add(last + piece)
+        last = piece if short else ""
+    if len(single) >= 3:
+        out.add("".join(single))
     return out
 
 
