@@ -150,6 +150,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.size("leaks") > 0).alias("contaminated"), F.col("leaks.item_id").alias("item_ids"), F.col("leaks.ratio").alias("ratios"))
 
 
+def op11_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of nearly equal bytes in the order of (first 60 bits of the text's md5, id)."""
+    from .histogram_sort import shard_documents
+
+    shards = shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
+    return shards.select(
+        "doc_id", (F.octet_length(text_of("text")).cast("long") + 16).alias("size"), F.crc32(text_of("text").cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import spelling_variants
+
+    found = spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_blocks": op2_token_blocks,
@@ -161,6 +179,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op11_histogram_sort": op11_histogram_sort,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": OP1_SQL,
