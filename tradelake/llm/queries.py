@@ -161,6 +161,15 @@ def op11_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation c begins with the first crc32(c) % 4 turns of conversation c - c % 20."""
+    from .prefix_trie import prefix_trie
+
+    conv = F.col("conv")
+    trie = prefix_trie(table(spark, sf_dir, "conversations"), conv - conv % 20, F.crc32(conv.cast("string").cast("binary")) % 4, max_head=3)
+    return trie.drop("ref_conv", "ref_pos")
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .spelling import spelling_variants
 
@@ -180,6 +189,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
     "op11_histogram_sort": op11_histogram_sort,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE_SQL: dict[str, str] = {
