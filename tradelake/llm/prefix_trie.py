@@ -136,12 +136,18 @@ def _carried(scanned: DataFrame, seed: int) -> DataFrame:
     return scanned.sparkSession.createDataFrame(rows, ", ".join(f"{c} long" for c in names))
 
 
+def _keys(seed: int) -> list[Column]:
+    return [F.xxhash64(F.lit(s), "role", "text").alias(k) for k, s in (("k1", seed), ("k2", ~seed))]
+
+
 def turn_table(turns: DataFrame, seed: int) -> DataFrame:
     """``conv, pos, k1, k2, words``, and over the conversation up to this turn the words ``w`` and sums ``g0`` ..."""
     order = ["conv", F.asc_nulls_first("turn"), "role", "text", "row"]
     ranged = turns.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
     schema = ", ".join(f"{c} long" for c in ["part", "conv", "lpos", "k1", "k2", "words", "w", *_G])
-    scanned = saved(ranged.select("conv", "k1", "k2", "words").mapInArrow(_scan(seed), schema), "turn-scan")
+    # counted after the sort: the sampling of the ranges would count them once more
+    words = F.regexp_count("text", F.lit(WORD)).cast("long").alias("words")
+    scanned = saved(ranged.select("conv", *_keys(seed), words).mapInArrow(_scan(seed), schema), "turn-scan")
     joined = scanned.join(F.broadcast(_carried(scanned, seed)), ["part", "conv"], "left")
     zero = F.lit(0).cast("long")
     whole = [F.pmod(F.coalesce(f"c_{x}", zero) + F.coalesce(f"p_{x}", F.lit(1)) * F.col(x), F.lit(PRIME)).alias(x) for x in _G]
@@ -253,15 +259,11 @@ def prefix_trie(
     """
     base = F.col("conv") if base is None else base
     head = F.lit(0).cast("long") if head is None else head
+    turns = conversations.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("conv"), F.col(turn_col).alias("turn"), text_of(role_col).alias("role"), text_of(text_col).alias("text")
+    )
     for attempt in count(seed):
-        turns = conversations.where(F.col(id_col).isNotNull()).select(
-            F.col(id_col).cast("long").alias("conv"), F.col(turn_col).alias("turn"), text_of(role_col).alias("role"), text_of(text_col).alias("text")
-        )
-        keyed = turns.select(
-            "*", F.xxhash64(F.lit(attempt), "role", "text").alias("k1"), F.xxhash64(F.lit(~attempt), "role", "text").alias("k2"),
-            F.regexp_count("text", F.lit(WORD)).cast("long").alias("words"),
-        )
-        stored = turn_table(keyed, attempt)
+        stored = turn_table(turns, attempt)
         prefixes = saved(_prefixes(stored, _rebuilt(stored, base, head, max_head), attempt, max_head), "prefixes")
         nodes = saved(
             prefixes.groupBy(*NODE).agg(
@@ -271,7 +273,7 @@ def prefix_trie(
             "trie-nodes",
         )
         unequal = nodes.where((F.col("min_k1") != F.col("max_k1")) | (F.col("min_k2") != F.col("max_k2")))
-        shared = keyed.groupBy("k1", "k2", "role", "text").agg(F.lit(1).alias("one")).groupBy("k1", "k2").agg(F.count("one").alias("n")).where("n > 1")
+        shared = turns.select(*_keys(attempt), "role", "text").groupBy("k1", "k2", "role", "text").agg(F.lit(1).alias("one")).groupBy("k1", "k2").agg(F.count("one").alias("n")).where("n > 1")
         if unequal.isEmpty() and shared.isEmpty():
             return _trie(prefixes, nodes)
 
