@@ -5,12 +5,13 @@ plus partition columns ``trade_date DATE`` (the day of the trade, as the
 reference's day partitioning on ``timestamp``) and ``load_id STRING`` (the load
 that wrote the rows; a re-run of that load overwrites exactly its partitions).
 
-Ledger: ``file_name STRING, loaded_at TIMESTAMP, load_id STRING, status STRING``.
-Status ``pending`` is written before a load, ``loaded`` after it (``failed`` for files
-that could not be read); compaction has entries of its own (``plans.compact``). Its public view
-(``ledger_view``) is the reference's ``(file_name, loaded_at)`` of loaded files.
-NOT NULL is not enforced on Parquet tables, so the loader only ever writes
-non-null names.
+Ledger: ``file_name STRING, loaded_at TIMESTAMP, load_id STRING, status STRING, n_rows
+BIGINT`` (rows of the file in the load, where known), kept as a snapshot and a tail
+(``plans.ledger``). Status ``pending`` is written before a load, ``loaded`` after it
+(``failed`` for files that could not be read); compaction has entries of its own
+(``plans.compact``). Its public view (``ledger_view``) is the reference's ``(file_name,
+loaded_at)`` of loaded files. NOT NULL is not enforced on Parquet tables, so the loader
+only ever writes non-null names.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from ..operators.dedupe import new_rows
 DEFAULT_LEDGER = "loaded_files"
 FACT_COLUMNS = ("symbol", "price", "quantity", "timestamp")
 FACT_DDL = "`symbol` STRING, `price` DOUBLE, `quantity` DOUBLE, `timestamp` TIMESTAMP, `trade_date` DATE, `load_id` STRING"
-LEDGER_DDL = "`file_name` STRING, `loaded_at` TIMESTAMP, `load_id` STRING, `status` STRING"
+LEDGER_COLUMNS = ("file_name", "loaded_at", "load_id", "status", "n_rows")
+LEDGER_DDL = "`file_name` STRING, `loaded_at` TIMESTAMP, `load_id` STRING, `status` STRING, `n_rows` BIGINT, `part` STRING, `gen` BIGINT, `day` STRING"
 
 
 class InvalidTableName(ValueError):
@@ -96,7 +98,7 @@ def ensure_tables(spark: SparkSession, table: str, location: str | None = None,
         f"CREATE TABLE IF NOT EXISTS {names.fact} ({FACT_DDL}) USING parquet PARTITIONED BY (trade_date, load_id)"
     )
     if ledger:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {names.ledger_table} ({LEDGER_DDL}) USING parquet")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {names.ledger_table} ({LEDGER_DDL}) USING parquet PARTITIONED BY (part, gen, day)")
     return names
 
 
@@ -109,39 +111,13 @@ def require_ledger(spark: SparkSession, names: TableNames) -> None:
         )
 
 
-def ledger_rows(spark: SparkSession, names: TableNames) -> DataFrame:
-    return spark.table(names.ledger_table)
-
-
-def ledger_view(spark: SparkSession, table: str, ledger_name: str = DEFAULT_LEDGER) -> DataFrame:
-    """``file_name, loaded_at`` of loaded files (the reference's ledger)."""
-    names = resolve_names(spark, table, ledger_name)
-    return (
-        ledger_rows(spark, names)
-        .where(F.col("status") == "loaded")
-        .select("file_name", "loaded_at")
-    )
-
-
-def already_loaded(spark: SparkSession, table: str, ledger_name: str = DEFAULT_LEDGER) -> DataFrame:
-    """Distinct names of loaded files. A failing read is an error, never "empty"."""
-    return ledger_view(spark, table, ledger_name).select("file_name").distinct()
-
-
-def is_loaded(spark: SparkSession, table: str, file_name: str, ledger_name: str = DEFAULT_LEDGER) -> bool:
-    """Point lookup of one file in the ledger (a pushed-down equality filter)."""
-    return not ledger_view(spark, table, ledger_name).where(F.col("file_name") == file_name).limit(1).isEmpty()
-
-
 def fact_rows(spark: SparkSession, names: TableNames) -> DataFrame:
     """The fact table without the partitions that an unfinished compaction holds twice
-    (a few rows of the ledger; normally none, and the plain table is read)."""
+    (normally none, and the plain table is read)."""
     from .compact import hidden_partitions
 
-    rows = spark.table(names.fact)
-    for day, load_id in hidden_partitions(spark, names):
-        rows = rows.where(~((F.col("trade_date") == F.lit(day).cast("date")) & (F.col("load_id") == load_id)))
-    return rows
+    rows, hidden = spark.table(names.fact), hidden_partitions(spark, names)
+    return rows if hidden is None else rows.join(hidden, ["trade_date", "load_id"], "left_anti")
 
 
 def fact_view(spark: SparkSession, table: str) -> DataFrame:

@@ -7,7 +7,7 @@ these in one scan (and reads NANOS only as BIGINT, under
 ``spark.sql.legacy.parquet.nanosAsLong``), so:
 
 1. ``classify_files`` reads each file's Parquet *footer* (not its data) in a
-   distributed ``mapInArrow`` and returns a type signature per file, or an error
+   distributed ``mapInArrow`` and returns a type signature and the number of rows per file, or an error
    for unreadable files and files without the needed columns;
 2. ``read_trades`` reads each signature group with its own schema, converts to
    ``symbol STRING, price DOUBLE, quantity DOUBLE, timestamp TIMESTAMP`` and
@@ -35,7 +35,7 @@ from ..functions.timestamps import floor_div, parse_epoch_ms
 from ..operators.trades import FIELDS
 
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
-CLASSIFY_SCHEMA = "path string, signature string, error string"
+CLASSIFY_SCHEMA = "path string, signature string, rows bigint, bytes bigint, error string"
 
 
 def _make_opener():
@@ -90,9 +90,9 @@ def _make_classifier(fields: tuple[str, ...]):
 
         try:
             with open_path(path) as fh:
-                meta = pq.read_metadata(fh)
+                meta, size = pq.read_metadata(fh), fh.size()
         except Exception as exc:  # unreadable footer: a failed file, retried next run
-            return None, f"unreadable: {type(exc).__name__}: {exc}"
+            return None, None, None, f"unreadable: {type(exc).__name__}: {exc}"
         cols = {}
         for i in range(len(meta.schema)):
             c = meta.schema.column(i)
@@ -104,14 +104,14 @@ def _make_classifier(fields: tuple[str, ...]):
                 parts.append("symbol=absent:")
                 continue
             if name not in cols:
-                return None, f"missing column {name}"
+                return None, None, None, f"missing column {name}"
             kind, stype = spark_type(cols[name])
             allowed = ("nanos", "timestamp", "int", "text", "date") if name == "timestamp" else (
                 ("double", "int", "decimal", "text", "bool") if name != "symbol" else None)
             if not stype or (allowed is not None and kind not in allowed):
-                return None, f"unsupported {name} type {cols[name].physical_type} {cols[name].logical_type}"
+                return None, None, None, f"unsupported {name} type {cols[name].physical_type} {cols[name].logical_type}"
             parts.append(f"{name}={kind}:{stype}")
-        return ";".join(parts), None
+        return ";".join(parts), meta.num_rows, size, None
 
     def classify(batches):
         import pyarrow as pa
@@ -123,16 +123,18 @@ def _make_classifier(fields: tuple[str, ...]):
                 [
                     pa.array(paths, pa.string()),
                     pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.string()),
+                    pa.array([f[1] for f in found], pa.int64()),
+                    pa.array([f[2] for f in found], pa.int64()),
+                    pa.array([f[3] for f in found], pa.string()),
                 ],
-                names=["path", "signature", "error"],
+                names=["path", "signature", "rows", "bytes", "error"],
             )
 
     return classify
 
 
 def classify_files(files: DataFrame) -> DataFrame:
-    """``path, signature, error`` for every file in a listing (footers only)."""
+    """``path, signature, rows, bytes, error`` for every file in a listing (footers only)."""
     return files.select("path").mapInArrow(_make_classifier(tuple(FIELDS)), CLASSIFY_SCHEMA)
 
 
@@ -230,7 +232,7 @@ def _read_group(spark: SparkSession, signature: str, paths: list[str], with_file
         ts_out.alias("timestamp"),
     ]
     if with_file:
-        cols.append(F.col("_metadata.file_path").alias("file_name"))
+        cols.append(plain_path(F.col("_metadata.file_path")).alias("file_name"))
     return df.select(*cols)
 
 

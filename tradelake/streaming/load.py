@@ -21,11 +21,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timestamps import trade_date
 from ..operators.files import loaded_names
+from ..plans.layout import by_day
+from ..plans.ledger import file_day, ledger_rows, record
 from ..plans.loader import dynamic_overwrite
-from ..plans.tables import FACT_COLUMNS, ledger_rows, require_ledger, resolve_names
+from ..plans.tables import FACT_COLUMNS, require_ledger, resolve_names
+from ..session import shared_root
 from ..sources.trade_files import plain_path
 from .batches import batch_name
 
+_BYTES_A_ROW = 40
 LAKE_SCHEMA = "symbol string, price double, quantity double, timestamp timestamp"
 
 
@@ -41,33 +45,27 @@ def load_stream(spark: SparkSession, root: str, table: str, checkpoint: str, *,
                 trigger: dict | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     names = resolve_names(spark, table)
     require_ledger(spark, names)
+    shared_root(spark)  # lineage cuts go to the shared checkpoint folder
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         load_id = f"{name}-{batch_name(spark, checkpoint, batch_id)}"
-        led = ledger_rows(spark, names)
-        if not led.where((F.col("load_id") == load_id) & (F.col("status") == "loaded")).isEmpty():
-            return  # the batch ended before, and only its commit was lost
-        others = loaded_names(led.select(plain_path(F.col("file_name")).alias("file_name"), "status"))
-        batch = batch.join(others, "file_name", "left_anti").persist()
+        batch = batch.persist()
         try:
-            rows = (
-                batch.select(*FACT_COLUMNS)
-                .withColumn("trade_date", trade_date("timestamp"))
-                .withColumn("load_id", F.lit(load_id))
-                .hint("rebalance", "trade_date")
-            )
+            # The batch's file days: only these folders of the ledger's snapshot are read.
+            days = [r[0] for r in batch.select(file_day(F.col("file_name"))).distinct().collect()]
+            led = ledger_rows(spark, names, days)
+            if not led.where((F.col("load_id") == load_id) & (F.col("status") == "loaded")).isEmpty():
+                return  # the batch ended before, and only its commit was lost
+            others = loaded_names(led.select(plain_path(F.col("file_name")).alias("file_name"), "status"))
+            new = batch.join(others, "file_name", "left_anti")
+            rows = new.select(*FACT_COLUMNS).withColumn("trade_date", trade_date("timestamp")).withColumn("load_id", F.lit(load_id))
+            counted = new.groupBy("file_name", trade_date("timestamp").alias("trade_date")).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+            by_date = {r.trade_date: r["n"] for r in counted.groupBy("trade_date").agg(F.sum("n").alias("n")).collect()}  # one row a day
             with dynamic_overwrite(spark):
-                rows.write.insertInto(names.fact, overwrite=True)
-            at = _dt.datetime.now(_dt.timezone.utc)
-            (
-                batch.select("file_name").distinct()
-                .select(
-                    F.col("file_name"), F.lit(at).cast("timestamp").alias("loaded_at"),
-                    F.lit(load_id).alias("load_id"), F.lit("loaded").alias("status"),
-                )
-                .write.insertInto(names.ledger_table)
-            )
+                by_day(rows, by_date, _BYTES_A_ROW).write.insertInto(names.fact, overwrite=True)
+            files = counted.groupBy(F.col("file_name").alias("path")).agg(F.sum("n").alias("rows"))
+            record(spark, names, files, load_id, "loaded", _dt.datetime.now(_dt.timezone.utc))
         finally:
             batch.unpersist()
 

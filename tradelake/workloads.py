@@ -28,22 +28,14 @@ from .operators.files import limit_files, pending_files
 from .operators.minutes import minute_ohlcv, minute_price_runs, minute_prices
 from .operators.trades import FIELDS, is_valid_trade, reject_counts, split_trades
 from .plans.compact import compact_days
+from .plans.ledger import compact_ledger, is_loaded, ledger_rows, ledger_view, record
 from .plans.loader import load_batch
-from .plans.tables import (
-    ensure_tables,
-    fact_view,
-    is_loaded,
-    ledger_rows,
-    ledger_view,
-    resolve_names,
-    rows_to_add,
-    trades_between,
-)
+from .plans.tables import ensure_tables, fact_view, resolve_names, rows_to_add, trades_between
 from .plans.writer import LAKE_PARTITIONS, with_lake_partitions, write_trades
 from .session import ensure_utc, scratch_dir
 from .sources.listing import exists_any, list_files, preview
 from .sources.messages import events_as_messages, lineitem_as_messages, read_table, spread
-from .sources.trade_files import read_trades
+from .sources.trade_files import classify_files, read_trades
 from .streaming.dedupe import dedupe_stream, deduped
 from .streaming.ingest import for_each_batch, stream_trades
 from .streaming.load import load_stream
@@ -737,6 +729,94 @@ def q_compact_days(spark, sf):
 SQL_COMPACT_DAYS = EV + f"""
 SELECT {PER_DAY}, CAST(1 AS BIGINT) AS load_ids FROM clean GROUP BY ALL"""
 
+
+def q_load_layout(spark, sf):
+    """Files a day in the table: one for a small day, as many as its bytes need for a large one."""
+    lake = _event_lake(spark, sf)
+    table = _fresh_table(spark)
+    load_batch(spark, lake + ALL_DAYS, table).collect()
+    rows = spark.table(resolve_names(spark, table).fact)
+    per_file = rows.groupBy("trade_date", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("trade_date").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_files"))
+
+
+SQL_LOAD_LAYOUT = EV + """
+SELECT CAST("timestamp" AS DATE) AS trade_date, CAST(count(*) AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS n_files FROM clean GROUP BY ALL"""
+
+
+def q_load_reconciled(spark, sf):
+    """Rows of each day's files by their footers, in the ledger, and in the table."""
+    lake = _event_lake(spark, sf)
+    table = _fresh_table(spark)
+    m = load_batch(spark, lake + ALL_DAYS, table).first()
+    footers = classify_files(list_files(spark, lake + ALL_DAYS)).select("path", F.col("rows").alias("footer_rows"))
+    recorded = ledger_rows(spark, resolve_names(spark, table)).where(F.col("status") == "loaded").select(F.col("file_name").alias("path"), F.col("n_rows").alias("ledger_rows"))
+    by_file = footers.join(recorded, "path", "full")
+    days = by_file.groupBy(*[_part(F.col("path"), c).alias(c) for c in LAKE_PARTITIONS]).agg(F.sum("footer_rows").alias("footer_rows"), F.sum("ledger_rows").alias("ledger_rows"))
+    return _per_day(fact_view(spark, table)).drop("quantity").join(days, list(LAKE_PARTITIONS), "full").withColumn("unreconciled", F.lit(m.unreconciled_loads))
+
+
+SQL_LOAD_RECONCILED = EV + """
+SELECT year("timestamp")::BIGINT AS year, month("timestamp")::BIGINT AS month, day("timestamp")::BIGINT AS day,
+       count(*) AS n_rows, count(*) AS footer_rows, count(*) AS ledger_rows, CAST(0 AS BIGINT) AS unreconciled
+FROM clean GROUP BY ALL"""
+
+
+def _begun_only(spark: SparkSession, table: str, files: DataFrame, load_id: str) -> None:
+    """A load that recorded its files and died before it wrote anything."""
+    import datetime as dt
+
+    record(spark, resolve_names(spark, table), files.select("path"), load_id, "pending", dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
+
+
+def q_recover_unwritten(spark, sf):
+    """A load that died before it wrote anything, one of whose files is damaged since: the others are loaded, the bad one is tried again."""
+    clean = _clean_events(spark, sf, keep=())
+    lake = _event_lake(spark, sf)
+    table = _fresh_table(spark)
+    small = scratch_dir(spark, "small")
+    clean.limit(20).coalesce(1).write.parquet(small)
+    bad = lake + "/year=2024/month=1/day=1/damaged.parquet"
+    _write_bytes(spark, bad, _damaged(spark, preview(list_files(spark, small + "/*.parquet"), 1)[0]))
+    _begun_only(spark, table, list_files(spark, lake + ALL_DAYS), "died")
+    first = load_batch(spark, lake + ALL_DAYS, table).first()
+    second = load_batch(spark, lake + ALL_DAYS, table).first()
+    named = sum([f.rsplit("/", 1)[1] for f in m.failed] == ["damaged.parquet"] for m in (first, second))
+    return _per_day(fact_view(spark, table), _number(first.abandoned_loads, "abandoned"), _number(named, "reported"), _number(second.files_loaded, "loaded_again"))
+
+
+SQL_RECOVER_UNWRITTEN = EV + f"""
+SELECT {PER_DAY}, CAST(1 AS BIGINT) AS abandoned, CAST(2 AS BIGINT) AS reported, CAST(0 AS BIGINT) AS loaded_again FROM clean GROUP BY ALL"""
+
+
+def q_ledger_snapshot(spark, sf):
+    """Several loads, then a snapshot: the same files are listed before and after, none is loaded
+    again, a load that is still open is carried over, and the tail is one file."""
+    lake = _event_lake(spark, sf)
+    table = _fresh_table(spark)
+    names = resolve_names(spark, table)
+    for day in ("1", "2", "3*", "1?", "2?"):
+        load_batch(spark, lake + f"/year=*/month=*/day={day}/*.parquet", table).collect()
+    before = ledger_view(spark, table).select("file_name").checkpoint()
+    waiting = list_files(spark, lake + "/year=*/month=*/day=9/*.parquet")
+    _begun_only(spark, table, waiting, "open")
+    compact_ledger(spark, table)
+    after = ledger_view(spark, table).select("file_name")
+    changed = before.exceptAll(after).unionByName(after.exceptAll(before)).count()
+    tail = spark.table(names.ledger_table).where("part = 'tail'")
+    tail_files = tail.select(F.col("_metadata.file_path").alias("f")).distinct().count()
+    recovered = load_batch(spark, lake + ALL_DAYS, table).first()
+    again = load_batch(spark, lake + ALL_DAYS, table).first()
+    return _per_day(
+        fact_view(spark, table), _number(changed, "changed"), _number(tail_files, "tail_files"),
+        _number(recovered.recovered_loads, "recovered"), _number(again.files_loaded, "loaded_again"),
+    )
+
+
+SQL_LEDGER_SNAPSHOT = EV + f"""
+SELECT {PER_DAY}, CAST(0 AS BIGINT) AS changed, CAST(1 AS BIGINT) AS tail_files, CAST(1 AS BIGINT) AS recovered, CAST(0 AS BIGINT) AS loaded_again
+FROM clean GROUP BY ALL"""
+
 # ---------------------------------------------------------------- step 9: streaming
 
 
@@ -919,6 +999,10 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "load_with_bad_file": (q_load_with_bad_file, SQL_LOAD_WITH_BAD_FILE),
     "recover_load": (q_recover_load, SQL_RECOVER_LOAD),
     "compact_days": (q_compact_days, SQL_COMPACT_DAYS),
+    "load_layout": (q_load_layout, SQL_LOAD_LAYOUT),
+    "load_reconciled": (q_load_reconciled, SQL_LOAD_RECONCILED),
+    "recover_unwritten": (q_recover_unwritten, SQL_RECOVER_UNWRITTEN),
+    "ledger_snapshot": (q_ledger_snapshot, SQL_LEDGER_SNAPSHOT),
     "trades_between": (q_trades_between, SQL_TRADES_BETWEEN),
     "stream_clean": (q_stream_clean, SQL_STREAM_CLEAN),
     "stream_minutes": (q_stream_minutes, SQL_STREAM_MINUTES),
