@@ -9,6 +9,16 @@ from tradelake.session import scratch_dir
 
 ROW = "row"
 
+_KEPT: dict = {}
+
+
+def kept(key, make):
+    """What a Python worker keeps from task to task: one object, so that a stage drops the one of the stage before."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

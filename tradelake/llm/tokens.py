@@ -10,24 +10,32 @@ of encoding it whole:
 A word of letters, with or without a full stop or comma after it, is one piece (or two) under that
 rule, so the library's model gets it straight away; other words go through the whole library.
 
-Words and their ids stay in the Python worker between tasks, up to ``MAX_WORDS``.
+The first ``MAX_WORDS`` words and their ids stay in the Python worker between tasks; frequent words are
+among them, and of the later ones each group of texts encodes its own anew.
 Strings of special tokens in a text are ordinary text.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
 
-MAX_WORDS = 1_000_000
+from .common import kept
+
+MAX_WORDS = 300_000
 #: Texts are encoded together up to about this many characters.
 BATCH_CHARS = 1_000_000
-_UNSAFE = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]\Z|\x00")
+_OTHER_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
+_ODD = ["\0", "  ", " \n", "\n ", "\n\n"]
+
+
+def cuts_anywhere(text: str) -> bool:
+    """Whether every space and newline of a text stands alone between two other characters, and no other white space is there."""
+    return not (text[0] in " \n" or text[-1] in " \n" or any(x in text for x in _ODD) or any(c in text for c in _OTHER_SPACES))
 
 
 def byte_letters() -> dict[int, str]:
@@ -113,17 +121,22 @@ class WordEncoder:
             ends.append(len(words))
         at = np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
         missing = np.nonzero(at < 0)[0].tolist()
+        full, used, own = False, self.used, []
         if missing:
             new = {words[k] for k in missing}
-            if len(new) + len(self.places) > MAX_WORDS:
-                self._clear()
-                new, missing = set(words), range(len(words))
-            self._learn([w for w in new if w[-1:] not in self.ends])
-            self._learn([w for w in new if w[-1:] in self.ends])  # of many, the word itself is known by now
+            own = [w for w in new if w[-1:] not in self.ends] + [w for w in new if w[-1:] in self.ends]
+            full = len(new) + len(self.places) > MAX_WORDS
+            ended = sum(w[-1:] in self.ends for w in own)
+            self._learn(own[: len(own) - ended])
+            self._learn(own[len(own) - ended :])  # of many, the word itself is known by now
             at[missing] = [self.places[words[k]] for k in missing]
         sizes = self.sizes[at]
         upto = np.concatenate([[0], np.cumsum(sizes)])
         flat = self.ids[np.repeat(self.starts[at] - upto[:-1], sizes) + np.arange(upto[-1])]
+        if full:
+            self.used = used
+            for w in own:
+                del self.places[w]
         bounds = upto[ends]
         return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
@@ -132,7 +145,7 @@ class WordEncoder:
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         todo = [k for k, t in enumerate(texts) if t]
         if self.part:
-            whole = [k for k in todo if _UNSAFE.search(texts[k])]
+            whole = [k for k in todo if not cuts_anywhere(texts[k])]
             if whole:
                 for k, e in zip(whole, self.tokenizer.encode_batch_fast([texts[k] for k in whole], add_special_tokens=False)):
                     out[k] = np.array(e.ids, dtype=np.uint32)
@@ -144,14 +157,9 @@ class WordEncoder:
         return out
 
 
-_ENCODERS: dict[tuple[str, str], WordEncoder] = {}
-
-
 def encoder(path: str, spaces: str) -> WordEncoder:
     """The worker's own encoder, kept between tasks."""
-    if (path, spaces) not in _ENCODERS:
-        _ENCODERS[path, spaces] = WordEncoder(path, spaces)
-    return _ENCODERS[path, spaces]
+    return kept(("encoder", path, spaces), lambda: WordEncoder(path, spaces))
 
 
 def encoded(rows: Iterable[tuple], enc: WordEncoder, end_id: int) -> Iterator[tuple]:

@@ -33,13 +33,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import packed, saved, text_of
+from .common import kept, saved, text_of
 
 DECAY, SPAN, LONGEST = 0.5, 8, 24
 CLASSES, GAP = 48, 47
-MAX_CACHED = 1_000_000
+MAX_CACHED = 300_000
 #: Digits and signs that stand for letters inside a word.
 LOOK_ALIKES = str.maketrans("0134578@$!|", "oieastbasil")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -178,9 +177,7 @@ class Scorer:
         """Per text: the three largest string scores, and the logarithms of how many are above 0 and of how many there are."""
         sets = [strings_of(t) for t in texts]
         new = set().union(*sets).difference(self.known) if sets else set()
-        if len(new) + len(self.known) > MAX_CACHED:
-            self.known = {}
-            new = set().union(*sets)
+        full = len(new) + len(self.known) > MAX_CACHED  # frequent strings are known by then: these are not kept
         if new:
             words = list(new)
             self.known.update(zip(words, folded(words, self.weights, self.bias).tolist()))
@@ -192,20 +189,17 @@ class Scorer:
             row[: len(top)] = np.clip(top, -1.5, 1.5)
             row[3] = np.log1p((values > 0).sum())
             row[4] = np.log1p(max(32, len(values)))  # a very short text is no likelier toxic
+        if full:
+            for w in new:
+                del self.known[w]
         return out
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
 def scorer(name: str, weights: np.ndarray, bias: float) -> Scorer:
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(weights, bias)
-    return _SCORERS[name]
+    return kept(("scorer", name), lambda: Scorer(weights, bias))
 
 
-def _by_size(texts: list, most: int = 1_000_000):
+def _by_size(texts, most: int = 1_000_000):
     group, size = [], 0
     for t in texts:
         group.append(t)
@@ -235,10 +229,11 @@ class Model:
     def __init__(self, weights: np.ndarray, bias: float, calibration: np.ndarray, name: str):
         self.weights, self.bias, self.calibration, self.name = weights.astype(np.float32), bias, calibration, name
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
+    def scores(self, texts) -> np.ndarray:
+        """The scores of texts (any iterable)."""
         out = [np.zeros(0)]
         if not len(self.calibration):
-            return np.zeros(len(texts))
+            return np.zeros(sum(1 for _ in texts))
         mine = scorer(self.name, self.weights, self.bias)
         for group in _by_size(texts):
             facts = mine.facts(group)
@@ -347,13 +342,11 @@ def train(
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with a score between 0 and 1, from the whole text alone."""
-    names = [c for c in docs.columns if c != score_col]
-    work = packed(docs.select(*[F.col(f"`{c}`") for c in names]), F.col(text_col).alias("text"))
 
-    def run(batches):
-        for batch in batches:
-            got = model.scores(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(got, pa.float64())], names=["row", "score"])
+    @F.arrow_udf("double")
+    def value(texts: pa.Array) -> pa.Array:
+        return pa.array(model.scores(t.as_py() for t in texts), pa.float64())
 
-    out = work.mapInArrow(run, T.StructType([work.schema["row"], T.StructField("score", T.DoubleType())]))
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in names], F.col("score").alias(score_col))
+    # only the text goes to Python and only the score comes back
+    others = [F.col(f"`{c}`") for c in docs.columns if c != score_col]
+    return docs.select(*others, value(F.col(f"`{text_col}`")).alias(score_col))
