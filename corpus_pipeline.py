@@ -21,10 +21,17 @@ from tradelake.llm.queries import fold, vocabulary
 REJECT = 0.3
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, longer if the documents have such a column."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels").where(fold(4) != 2))
-    marked = toxicity.score(docs.select(F.struct("*").alias("doc"), "text"), model)
-    return marked.where(F.col("score") < REJECT).select("doc.*")
+    score = unused(docs, "score")
+    return toxicity.score(docs, model, score_col=score).where(F.col(score) < REJECT).drop(score)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +43,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marked = decontaminate.find_leaks(spark, docs.select(F.struct("*").alias("doc"), "text"), table(spark, sf_dir, "benchmark"))
-    return marked.where(F.size("leaks") == 0).select("doc.*")
+    leaks = unused(docs, "leaks")
+    marked = decontaminate.find_leaks(spark, docs, table(spark, sf_dir, "benchmark"), leaks_col=leaks)
+    return marked.where(F.size(leaks) == 0).drop(leaks)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
