@@ -6,7 +6,7 @@
   toward zero (a double multiply for fractional input, exact for integers);
 * numbers from 1e11 up are milliseconds: ``int(ts)``;
 * NaN and infinities give NULL;
-* text must be an ISO-8601 date or date-time (Python 3.11 ``fromisoformat``
+* text must be an ISO-8601 date, week date or date-time (Python 3.11 ``fromisoformat``
   shapes); no zone means UTC. Numeric text such as ``"1704067200000"`` is not a
   timestamp;
 * anything else gives NULL.
@@ -72,6 +72,28 @@ def floor_div(x: Column, n: int) -> Column:
     return ((x.cast("decimal(38,0)") - F.pmod(x, F.lit(n))) / F.lit(n)).cast("bigint")
 
 
+# Week dates: year, separator, week, day of the week, and what follows the date.
+WEEK_TEXT = r"^(\d{4})(-?)W(\d{2})(?:\2([1-7]))?($|[^0-9-].*$)"
+
+
+def week_date(s: Column) -> Column:
+    """An ISO week date (``2024-W01-1``, ``2024W011``, with or without a time) as calendar date text.
+
+    Week 1 is the one with the year's first Thursday, so it holds January 4; a week whose
+    Thursday is in another year is not one of that year. NULL if the text is no week date."""
+
+    def part(i: int) -> Column:
+        return F.regexp_extract(s, WEEK_TEXT, i)
+
+    year = part(1).cast("int")
+    first = F.make_date(year, F.lit(1), F.lit(4))
+    monday = F.date_add(first, part(3).cast("int") * 7 - 7 - F.weekday(first))
+    day = F.date_add(monday, F.when(part(4) == "", 0).otherwise(part(4).try_cast("int") - 1))
+    text = F.when(F.year(F.date_add(monday, 3)) == year, F.concat(F.date_format(day, "yyyy-MM-dd"), part(5)))
+    # the cheap test first: hardly any text has a W there
+    return F.when(F.substring(s, 5, 2).contains("W") & s.rlike(WEEK_TEXT), text)
+
+
 # One regex pass rewrites matching text to its parts, in this order:
 # year|month|day|hour|minute|second|fraction|zone (empty when absent).
 _ISO_PARTS = "$1|$3|$4|$5|$7|$8|$9|$10"
@@ -109,7 +131,8 @@ def iso_parts_to_ms(parts: Column) -> Column:
 
 def iso_text_to_ms(s: Column) -> Column:
     """Epoch ms of ISO-8601 text; NULL where Python's ``fromisoformat`` would refuse."""
-    return iso_parts_to_ms(iso_parts(s))
+    # one element of an array: the calendar form is computed once, though its parts are used many times
+    return F.transform(F.array(F.coalesce(week_date(s), s)), lambda t: iso_parts_to_ms(iso_parts(t)))[0]
 
 
 # "Wide" values are DECIMAL(38,0) epoch ms, before the range check; values too
@@ -191,7 +214,8 @@ def with_epoch_ms_wide(df, src: str, out: str):
         text, numeric = c, F.lit(None).cast("decimal(38,0)")
     else:
         text, numeric = F.lit(None).cast("string"), epoch_ms_wide(c, dtype)
-    df = df.withColumn(out + "_num", numeric).withColumn(out + "_parts", iso_parts(text))
+    df = df.withColumn(out + "_num", numeric).withColumn(out + "_text", F.coalesce(week_date(text), text))
+    df = df.withColumn(out + "_parts", iso_parts(F.col(out + "_text")))
     iso = iso_parts_to_ms(F.col(out + "_parts")).cast("decimal(38,0)")
     return df.withColumn(out, F.coalesce(F.col(out + "_num"), iso))
 

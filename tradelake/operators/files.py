@@ -73,6 +73,36 @@ def wildcard_to_regex(pattern: str) -> str:
     return "^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?" + "".join(out) + "$"
 
 
+ANYTHING = "*"
+
+
+def pattern_steps(pattern: str) -> list:
+    """The path of a wildcard pattern as steps: ``ANYTHING`` for a ``*``, else a regex for one character."""
+    _, path = split_uri(pattern)
+    found = re.findall(r"\*|\?|\[!?\]?[^\]]*\]|.", path, re.S)
+    return [ANYTHING if f == "*" else re.compile(wildcard_to_regex(f)) for f in found]
+
+
+def open_steps(steps: list, text: str) -> set[int]:
+    """The places in a pattern where it stands after ``text``; none if no path that begins so can match."""
+
+    def skipped(at: set[int]) -> set[int]:
+        out = set()
+        for i in at:
+            while i < len(steps) and steps[i] == ANYTHING:  # may match nothing
+                out.add(i)
+                i += 1
+            out.add(i)
+        return out
+
+    at = skipped({0})
+    for ch in text:
+        inside = {i for i in at if i < len(steps) and steps[i] == ANYTHING}
+        on = {i + 1 for i in at - inside if i < len(steps) and steps[i].match(ch)}
+        at = skipped(inside | on)
+    return at
+
+
 def match_files(files: DataFrame, pattern: str) -> DataFrame:
     """Rows of a listing whose ``path`` matches the wildcard ``pattern``."""
     return files.where(F.col("path").rlike(wildcard_to_regex(pattern)))

@@ -161,8 +161,7 @@ def split_trades(df: DataFrame, keep: tuple[str, ...] = (), raw: str | None = "v
 
     ``clean``: ``keep..., symbol STRING, price DOUBLE, quantity DOUBLE, timestamp TIMESTAMP``.
     ``rejects``: ``keep..., value STRING, reject_reason STRING``.
-    When both are written, persist the input (a stream's micro-batch) or accept two
-    scans; rejects are normally a tiny fraction.
+    Writing both takes two scans; ``trade_outcomes`` writes both from one.
     """
     marked = with_reject_reason(df)
     clean = rows_where(marked, F.col(REASON).isNull(), _clean_projection(marked, keep))
@@ -174,6 +173,22 @@ def split_trades(df: DataFrame, keep: tuple[str, ...] = (), raw: str | None = "v
     return Split(clean, rejects)
 
 
+def trade_outcomes(df: DataFrame, keep: tuple[str, ...] = (), raw: str | None = "value") -> DataFrame:
+    """Every row once, with its ``outcome`` (``clean`` or ``reject``): the columns of both outputs
+    of ``split_trades``, null where they belong to the other. For one write of both
+    (``plans.writer.write_outcomes``) from one pass over the input."""
+    marked = with_reject_reason(df)
+    clean = F.col(REASON).isNull()
+    own = _clean_projection(marked, ())
+    return marked.select(
+        *[F.col(k) for k in keep],
+        *[F.when(clean, c).alias(name) for c, name in zip(own, FIELDS)],
+        F.when(~clean, _raw_text(marked, raw)).alias("value"),
+        F.col(REASON),
+        F.when(clean, "clean").otherwise("reject").alias("outcome"),
+    )
+
+
 def clean_trades(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """only the clean trades."""
     return split_trades(df, keep).clean

@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.timestamps import processing_partitions
 
@@ -46,3 +47,16 @@ def write_trades(
     if batch_size:
         writer = writer.option("maxRecordsPerFile", int(batch_size))
     writer.parquet(path)
+
+
+def write_outcomes(outcomes: DataFrame, path: str, mode: str = "append") -> None:
+    """``operators.trade_outcomes`` in one pass, a folder for each outcome; no exchange."""
+    outcomes.write.mode(mode).partitionBy("outcome").parquet(path)
+
+
+def read_outcomes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The clean trades and the reject rows of ``write_outcomes`` (or of ``stream_outcomes``), each from its own folder."""
+    rows = spark.read.parquet(path)
+    own = ("symbol", "price", "quantity", "timestamp")
+    clean = rows.where(F.col("outcome") == "clean").drop("value", "reject_reason", "outcome")
+    return clean, rows.where(F.col("outcome") == "reject").drop(*own, "outcome")

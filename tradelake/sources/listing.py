@@ -1,8 +1,10 @@
 """Object listing.
 
 ``binaryFile`` with ``recursiveFileLookup`` lists a folder tree as a DataFrame;
-the file contents are pruned from the scan, so only metadata is read. Like every
-Spark file source it skips names starting with ``_`` or ``.`` (markers such as
+the file contents are pruned from the scan, so only metadata is read. Folders of a
+pattern are looked through level by level until a ``*`` is met, so a literal or ranged
+level is not descended into where it cannot match; what is under the folders left is
+listed by Spark (in tasks, if there are many). Like every Spark file source it skips names starting with ``_`` or ``.`` (markers such as
 ``_SUCCESS``, checksum files); the reference does not.
 """
 
@@ -13,7 +15,7 @@ import posixpath
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.files import has_wildcard, match_files, root_prefix, split_uri
+from ..operators.files import ANYTHING, has_wildcard, match_files, open_steps, pattern_steps, root_prefix, split_uri
 
 
 class NoMatchingFiles(FileNotFoundError):
@@ -37,12 +39,46 @@ def qualified(spark: SparkSession, pattern: str) -> str:
     return scheme + posixpath.normpath(f"{working}/{pattern}")
 
 
-def list_prefix(spark: SparkSession, root: str) -> DataFrame:
-    """``path, length, modificationTime`` of every file under ``root``."""
+def _children(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """``(path, is a folder)`` of what is directly in a folder, without the names that Spark skips."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        raise NoMatchingFiles(folder)
+    found = [(s.getPath().toString(), s.isDirectory()) for s in system.listStatus(target)]
+    return [(p, d) for p, d in found if p.rsplit("/", 1)[-1][:1] not in ("_", ".")]
+
+
+def pattern_roots(spark: SparkSession, pattern: str) -> tuple[list[str], list[str]]:
+    """Folders (and files) that hold all matches of a pattern, and the folders looked into to find them.
+
+    A folder whose path ends inside a ``*`` is a root: the ``*`` crosses ``/``, so everything below
+    it may match. Others are looked into, and only children that can still match are kept.
+    """
+    steps, todo = pattern_steps(pattern), [root_prefix(pattern)]
+    roots, looked = [], []
+    while todo:
+        folder = todo.pop()
+        at = open_steps(steps, split_uri(folder)[1].rstrip("/") + "/")
+        if any(i < len(steps) and steps[i] == ANYTHING for i in at):
+            roots.append(folder)
+            continue
+        looked.append(folder)
+        for path, is_folder in _children(spark, folder):
+            at = open_steps(steps, split_uri(path)[1] + ("/" if is_folder else ""))
+            if is_folder and at:
+                todo.append(path)
+            elif len(steps) in at:
+                roots.append(path)
+    return sorted(roots), looked
+
+
+def list_prefix(spark: SparkSession, *roots: str) -> DataFrame:
+    """``path, length, modificationTime`` of every file under the given folders."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(root)
+        .load(list(roots))
         .select("path", "length", "modificationTime")
     )
 
@@ -56,7 +92,12 @@ def list_files(spark: SparkSession, pattern: str, require_match: bool = True) ->
     pattern = qualified(spark, pattern)
     try:
         if has_wildcard(pattern):
-            files = match_files(list_prefix(spark, root_prefix(pattern)), pattern)
+            roots, _ = pattern_roots(spark, pattern)
+            if not roots:
+                if require_match:
+                    raise NoMatchingFiles(pattern)
+                return spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
+            files = match_files(list_prefix(spark, *roots), pattern)
         else:
             files = list_prefix(spark, pattern)
     except AnalysisException as exc:  # the root itself does not exist

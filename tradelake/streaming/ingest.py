@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.json import Codec, decode_json
 from ..operators.exchange import from_exchange
-from ..operators.trades import message_fields, split_trades
+from ..operators.trades import message_fields, split_trades, trade_outcomes
 from ..plans.writer import LAKE_PARTITIONS, with_lake_partitions
 
 
@@ -73,6 +73,15 @@ def for_each_batch(messages: DataFrame, fn, checkpoint: str, *, raw: bool = Fals
     return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
+def stream_outcomes(messages: DataFrame, path: str, checkpoint: str, *, raw: bool = False,
+                    trigger: dict | None = None) -> StreamingQuery:
+    """Clean trades and reject rows of a stream in one query, so each message is read and judged
+    once; ``plans.writer.read_outcomes`` gives both."""
+    decoded = decode_json(messages)
+    fields = from_exchange(decoded) if raw else message_fields(decoded)
+    return _start(trade_outcomes(fields), path, checkpoint, trigger, {}, ("outcome",))
+
+
 def stream_rejects(messages: DataFrame, path: str, checkpoint: str, *, raw: bool = False,
                    trigger: dict | None = None) -> StreamingQuery:
     """Reject rows (``value, reject_reason``) of the same stream, as their own query."""

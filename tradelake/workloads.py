@@ -26,22 +26,24 @@ from .functions.timestamps import minute_bucket, parse_epoch_ms
 from .operators.exchange import from_exchange, to_canonical_json
 from .operators.files import limit_files, pending_files
 from .operators.minutes import minute_ohlcv, minute_price_runs, minute_prices
-from .operators.trades import FIELDS, is_valid_trade, reject_counts, split_trades
+from .operators.trades import FIELDS, is_valid_trade, reject_counts, split_trades, trade_outcomes
 from .plans.compact import compact_days
 from .plans.ledger import compact_ledger, is_loaded, ledger_rows, ledger_view, record
 from .plans.loader import load_batch
 from .plans.tables import ensure_tables, fact_view, resolve_names, rows_to_add, trades_between
-from .plans.writer import LAKE_PARTITIONS, with_lake_partitions, write_trades
+from .plans.writer import LAKE_PARTITIONS, read_outcomes, with_lake_partitions, write_outcomes, write_trades
 from .session import ensure_utc, scratch_dir
 from .sources.listing import exists_any, list_files, preview
 from .sources.messages import events_as_messages, lineitem_as_messages, read_table, spread
 from .sources.trade_files import classify_files, read_trades
 from .streaming.dedupe import dedupe_stream, deduped
-from .streaming.ingest import for_each_batch, stream_trades
+from .streaming.ingest import for_each_batch, stream_outcomes, stream_trades
 from .streaming.load import load_stream
 from .streaming.minutes import (
     read_minute_ohlcv,
     read_minute_price_runs,
+    roll_up_minute_ohlcv,
+    roll_up_minute_price_runs,
     stream_minute_ohlcv,
     stream_minute_price_runs,
 )
@@ -204,6 +206,37 @@ SELECT event_id, event_id % 6 AS shape,
 FROM events"""
 
 
+def q_parse_ts_week(spark, sf):
+    """ISO week dates: with and without separators, day and time, and weeks that their year does not have."""
+    ev = read_table(spark, sf, "events")
+    ts = F.col("ts").cast("timestamp")
+    shape = (F.col("event_id") % 6).cast("bigint")
+    # A day's ISO year is the year of its week's Thursday.
+    year = F.year(F.date_add(F.to_date(ts), 3 - F.weekday(ts))).cast("string")
+    week, day = F.lpad(F.weekofyear(ts).cast("string"), 2, "0"), (F.weekday(ts) + 1).cast("string")
+    text = (
+        F.when(shape == 0, F.concat(year, F.lit("-W"), week, F.lit("-"), day))
+        .when(shape == 1, F.concat(year, F.lit("W"), week, day))
+        .when(shape == 2, F.concat(year, F.lit("-W"), week))
+        .when(shape == 3, F.concat(year, F.lit("-W"), week, F.lit("-"), day, F.date_format(ts, "'T'HH:mm:ss.SSS"), F.lit("Z")))
+        .when(shape == 4, F.concat(year, F.lit("W"), week, day, F.date_format(ts, "' 'HHmmss")))
+        .otherwise(F.concat(year, F.when(F.col("event_id") % 2 == 1, F.lit("-W53-1")).otherwise(F.lit("-W00-1"))))
+    )
+    return ev.select("event_id", shape.alias("shape"), parse_epoch_ms(text, StringType()).alias("ts_ms"))
+
+
+SQL_PARSE_TS_WEEK = """
+SELECT event_id, event_id % 6 AS shape,
+       CASE event_id % 6
+         WHEN 2 THEN epoch_ms(date_trunc('week', ts))
+         WHEN 3 THEN epoch_ms(date_trunc('millisecond', ts))
+         WHEN 4 THEN epoch_ms(date_trunc('second', ts))
+         WHEN 5 THEN CASE WHEN event_id % 2 = 1 AND strftime(make_date(isoyear(ts), 12, 28), '%V') = '53'
+                          THEN epoch_ms(CAST(date_trunc('week', make_date(isoyear(ts), 12, 28)) AS TIMESTAMP)) END
+         ELSE epoch_ms(date_trunc('day', ts)) END AS ts_ms
+FROM events"""
+
+
 def q_to_double(spark, sf):
     ev = read_table(spark, sf, "events")
     v = F.col("value").cast("string")
@@ -840,6 +873,35 @@ def q_stream_clean(spark, sf):
 SQL_STREAM_CLEAN = SQL_READ_MIXED_TIMESTAMPS
 
 
+def _both_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """Clean trades and rejects of one folder, one under the other."""
+    clean, rejects = read_outcomes(spark, path)
+    blank = [F.lit("").alias("symbol"), F.lit(0.0).alias("price"), F.lit(0.0).alias("quantity"), F.timestamp_millis(F.lit(0)).alias("timestamp")]
+    return clean.select(*TRADE_COLS, F.lit("").alias("reject_reason")).unionByName(rejects.select(*blank, "reject_reason"))
+
+
+SQL_BOTH_OUTCOMES = EV + """
+SELECT symbol, price, quantity, "timestamp", '' AS reject_reason FROM clean
+UNION ALL
+SELECT '', 0.0, 0.0, TIMESTAMP '1970-01-01', CASE WHEN NOT (price > 0) THEN 'invalid_price' ELSE 'invalid_quantity' END
+FROM ev WHERE NOT (price > 0 AND quantity > 0)"""
+
+
+def q_write_outcomes(spark, sf):
+    """Clean trades and rejects written by one pass over the messages."""
+    out = scratch_dir(spark, "outcomes")
+    write_outcomes(trade_outcomes(_decoded_events(spark, sf)), out)
+    return _both_outcomes(spark, out)
+
+
+def q_stream_outcomes(spark, sf):
+    """The same as one stream."""
+    out = scratch_dir(spark, "outcomes")
+    messages = spark.readStream.schema("value string").text(_message_files(spark, sf))
+    stream_outcomes(messages, out, scratch_dir(spark, "ckpt"), raw=True, trigger={"availableNow": True}).awaitTermination()
+    return _both_outcomes(spark, out)
+
+
 def _out_of_order(spark: SparkSession, sf: str, copies: int = 1) -> DataFrame:
     """A stream of clean trades from files that each hold all times, two files a micro-batch."""
     folder = scratch_dir(spark, "messages")
@@ -867,6 +929,27 @@ def q_stream_ohlcv(spark, sf):
     )
 
 
+def q_roll_up_minutes(spark, sf):
+    """The parts of all ended batches merged: the same sums from at most two parts."""
+    out = scratch_dir(spark, "minutes")
+    stream_minute_price_runs(_out_of_order(spark, sf), out, scratch_dir(spark, "ckpt"), trigger={"availableNow": True}).awaitTermination()
+    roll_up_minute_price_runs(spark, out)
+    parts = spark.read.parquet(out).select("batch").distinct().count()
+    return read_minute_price_runs(spark, out).withColumn("parts", F.lit(parts).cast("bigint"))
+
+
+SQL_ROLL_UP_MINUTES = f"SELECT *, CAST(2 AS BIGINT) AS parts FROM ({SQL_MINUTE_PRICE_RUNS})"
+
+
+def q_roll_up_ohlcv(spark, sf):
+    out = scratch_dir(spark, "bars")
+    stream_minute_ohlcv(_out_of_order(spark, sf), out, scratch_dir(spark, "ckpt"), trigger={"availableNow": True}).awaitTermination()
+    roll_up_minute_ohlcv(spark, out)
+    return read_minute_ohlcv(spark, out).select(
+        "minute", "symbol", "n_trades", "open", "high", "low", "close", _dec(F.col("volume")).alias("volume"), _dec(F.col("vwap"), 6).alias("vwap")
+    )
+
+
 SQL_STREAM_OHLCV = f"SELECT * EXCLUDE (window_start) FROM ({SQL_MINUTE_OHLCV})"
 
 
@@ -967,6 +1050,7 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "normalize_symbol": (q_normalize_symbol, SQL_NORMALIZE_SYMBOL),
     "parse_ts_numeric": (q_parse_ts_numeric, SQL_PARSE_TS_NUMERIC),
     "parse_ts_iso": (q_parse_ts_iso, SQL_PARSE_TS_ISO),
+    "parse_ts_week": (q_parse_ts_week, SQL_PARSE_TS_WEEK),
     "to_double": (q_to_double, SQL_TO_DOUBLE),
     "minute_bucket": (q_minute_bucket, SQL_MINUTE_BUCKET),
     "decode_json": (q_decode_json, SQL_DECODE_JSON),
@@ -1008,6 +1092,10 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "stream_minutes": (q_stream_minutes, SQL_STREAM_MINUTES),
     "stream_ohlcv": (q_stream_ohlcv, SQL_STREAM_OHLCV),
     "dedupe_stream": (q_dedupe_stream, SQL_DEDUPE_STREAM),
+    "write_outcomes": (q_write_outcomes, SQL_BOTH_OUTCOMES),
+    "stream_outcomes": (q_stream_outcomes, SQL_BOTH_OUTCOMES),
+    "roll_up_minutes": (q_roll_up_minutes, SQL_ROLL_UP_MINUTES),
+    "roll_up_ohlcv": (q_roll_up_ohlcv, SQL_STREAM_OHLCV),
     "for_each_batch": (q_for_each_batch, SQL_FOR_EACH_BATCH),
     "custom_codec": (q_custom_codec, SQL_CUSTOM_CODEC),
     "stream_load": (q_stream_load, SQL_STREAM_LOAD),
