@@ -109,6 +109,35 @@ def test_groups_over_several_blocks(spark, monkeypatch):
     assert got == {(a, b) for a in range(15) for b in range(a + 1, 15)}
 
 
+def test_pairs_of_several_groups_come_once_and_strays_meet_all(spark, monkeypatch):
+    """Whatever groups two members share, their pair is found; groups within others' members are not compared again."""
+    monkeypatch.setattr(J, "BLOCK_ROWS", 5)
+    rng = random.Random(4)
+    noise = np.random.default_rng(4)
+    base = noise.integers(0, 2**64, 60, dtype=np.uint64)
+    sets = [np.unique(np.append(base, noise.integers(0, 2**64, 2, dtype=np.uint64))) for _ in range(40)]
+    component = [k if rng.random() < 0.3 else 0 for k in range(40)]
+    groups = {key: rng.sample(range(40), rng.randrange(2, 25)) for key in range(1, 30)}
+    groups |= {50 + k: groups[7][: 4 + k] for k in range(5)}
+    rows = [(key, k, component[k], len(sets[k]), J.bit_sketch(sets[k]).tolist()) for key, some in groups.items() for k in some]
+    df = spark.createDataFrame(rows, "key long, rep long, component long, n long, sketch array<long>")
+    want = {(a, b) for some in groups.values() for a in some for b in some if a < b and component[a] != component[b]}
+    for homes in (1, 2, 8):
+        monkeypatch.setattr(J, "HOMES", homes)
+        assert {(r.a, r.b) for r in J._across(df, 75).collect()} == want
+
+
+def test_one_stray_in_a_large_group(spark):
+    """A large component and one stray: the rows dealt to blocks grow with the group, not with its square."""
+    n = 20_000
+    one = "array_repeat(0L, 16)"
+    df = spark.range(n).selectExpr("1L key", "id rep", f"if(id = {n - 1}, {n - 1}L, 0L) component", "40L n", f"{one} sketch")
+    found = J._open_members(df)
+    assert [tuple(r) for r in found.select("all_blocks", "minor_blocks").distinct().collect()] == [(n // J.BLOCK_ROWS, 1)]
+    assert found.where("minor").count() == 1
+    assert J._across(df, 75).count() == n - 1
+
+
 @pytest.mark.parametrize("held", [2, 7, 1000])
 def test_groups_longer_than_a_task_holds(spark, monkeypatch, held):
     """However rows are cut, a first member meets all others, and groups of three or more are listed whole."""

@@ -15,8 +15,8 @@ the rest are verified on whole sets.
 No group is expanded into all its pairs. Equal sets are one class, represented by its smallest
 id. Within a group of equal cells every member is paired with the group's first member; of these
 pairs each document's nearest by sketch is verified first, then those that still lie across
-components. Only members of groups that span several components after that are compared with
-each other, in blocks of bounded size, and only across components.
+components. Of groups that span several components after that, members outside the group's largest
+component are compared with all members, in blocks of bounded size, and only across components.
 
 Defined results
   null or empty text, no words   no shingles, own component, linked with nothing
@@ -46,6 +46,8 @@ COUNT_BITS, SKETCH_BITS, BLOOM_BITS = 20, 1024, 24
 RATIO, SMALL, SMALL_CELLS = 4, 16, 1 << 16
 PIECES = 16
 BLOCK_ROWS = 2000
+#: Open groups by which a pair's repeats are known.
+HOMES = 8
 HELD_ROWS = 300_000
 
 FIRST_SCHEMA = "doc_id long, n long, h1 long, h2 long, sketch array<long>, piece int, data binary"
@@ -378,63 +380,101 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return saved(joined.select("a", "b", "da", "db").mapInArrow(run, "a long, b long"), "similar-pairs")
 
 
-def near_pairs(rep, component, n, bits, own, i: int, j: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of pairs across components that sizes and sketches allow, between blocks i and j of one group."""
-    left, right = np.nonzero(own == i)[0], np.nonzero(own == j)[0]
+def near_pairs(left, right, key: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of pairs across components that sizes and sketches allow, of one group's members on two sides.
+
+    A side is (rep, component, n, minor, homes, sketch). Of two minor members only the smaller id counts as
+    left. A pair that meets in an earlier home than this group is left to that group.
+    """
+    rep, component, n, _, homes, bits = left
+    rep_2, component_2, n_2, minor_2, homes_2, bits_2 = right
     x_all, y_all = [], []
-    for a in range(0, len(left), 64):
-        x = left[a : a + 64, None]
-        small, large = np.minimum(n[x], n[right]), np.maximum(n[x], n[right])
-        ok = (component[right] != component[x]) & (small * 100 >= large * percent)
-        if i == j:
-            ok &= rep[x] < rep[right]
-        p, q = np.nonzero(ok)
-        p, q = left[a + p], right[q]
-        far = np.bitwise_count(bits[p] ^ bits[q]).sum(axis=1, dtype=np.int64)
-        near = far * (100 + percent) <= (n[p] + n[q]) * (100 - percent)
-        x_all.append(p[near])
-        y_all.append(q[near])
-    return np.concatenate(x_all or [left[:0]]), np.concatenate(y_all or [left[:0]])
+    for a in range(0, len(rep), 64):
+        x = np.arange(a, min(a + 64, len(rep)))[:, None]
+        small, large = np.minimum(n[x], n_2), np.maximum(n[x], n_2)
+        p, q = np.nonzero((component[x] != component_2) & (small * 100 >= large * percent) & (~minor_2 | (rep[x] < rep_2)))
+        p = p + a
+        far = np.bitwise_count(bits[p] ^ bits_2[q]).sum(axis=1, dtype=np.int64)
+        near = far * (100 + percent) <= (n[p] + n_2[q]) * (100 - percent)
+        p, q = p[near], q[near]
+        ours = np.cumsum(homes == key, axis=1) > 0  # from this group on: homes that do not count
+        earlier = np.where(ours, np.int64(0), homes)[p]
+        met = ((earlier[:, :, None] == homes_2[q][:, None, :]) & (earlier != 0)[:, :, None]).any(axis=(1, 2)) if len(p) else np.zeros(0, bool)
+        x_all.append(p[~met])
+        y_all.append(q[~met])
+    none = np.zeros(0, np.int64)
+    return np.concatenate(x_all or [none]), np.concatenate(y_all or [none])
+
+
+def _open_members(members: DataFrame) -> DataFrame:
+    """``members`` of groups that span components, with ``minor`` (not of the group's largest component),
+    ``homes`` (the keys of the member's largest open groups, in the order of size and key; 0: none) and the
+    numbers of blocks; without groups whose members all have the same first home elsewhere, as that group
+    compares them."""
+    each = members.groupBy("key", "component").agg(F.count("rep").alias("rows"))
+    sizes = each.groupBy("key").agg(
+        F.sum("rows").alias("rows"), F.max_by("component", F.struct("rows", "component")).alias("major"), F.max("rows").alias("most")
+    )
+    open_groups = saved(sizes.where("rows > most"), "open-groups")
+    listed = members.select("key", "rep").join(open_groups.select("key", "rows"), "key")
+    first = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("rows")).alias("rows"), "key"))), 1, HOMES)
+    homes = listed.groupBy("rep").agg(F.transform(first, lambda h: h["key"]).alias("homes"))
+    homed = saved(listed.join(homes, "rep").select("key", "rep", "homes"), "open-members")
+    own = homed.groupBy("key").agg(F.min(F.col("homes")[0]).alias("h1"), F.max(F.col("homes")[0]).alias("h2"))
+    blocks = open_groups.join(own.where("h1 <> h2 or h1 = key"), "key").select(
+        "key",
+        "major",
+        F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("all_blocks"),
+        F.ceil((F.col("rows") - F.col("most")) / BLOCK_ROWS).cast("int").alias("minor_blocks"),
+    )
+    padded = F.transform(F.sequence(F.lit(0), F.lit(HOMES - 1)), lambda k: F.coalesce(F.get("homes", k), F.lit(0)))
+    return (
+        members.join(blocks, "key")
+        .join(homed, ["key", "rep"])
+        .withColumn("homes", padded)
+        .withColumn("minor", F.col("component") != F.col("major"))
+    )
 
 
 def _across(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components within a group (key, rep, component, n, sketch), by blocks of bounded size.
 
-    Blocks come sorted, so a task holds one pair of blocks at a time.
+    One of the two is outside the group's largest component, so blocks of such members meet blocks of all
+    members: with few strays the rows dealt grow with the group, not with its square. A pair that shares several
+    groups is given once for those among both members' homes. A task holds one pair of blocks at a time.
     """
-    sizes = members.groupBy("key").agg(F.count("rep").alias("rows"), F.min("component").alias("c1"), F.max("component").alias("c2"))
-    open_groups = sizes.where(F.col("c1") != F.col("c2")).select("key", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
-    dealt = (
-        members.join(open_groups, "key")
-        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("i", F.least("own", "other"))
-        .withColumn("j", F.greatest("own", "other"))
-    )
+    found = _open_members(members)
+    block = F.xxhash64("rep")
+
+    def side(df: DataFrame, left: bool, own: str, other: str, blocks: str) -> DataFrame:
+        return (
+            df.withColumn("left", F.lit(left))
+            .withColumn(own, F.pmod(block, F.col("minor_blocks" if left else "all_blocks")).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)))
+        )
+
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         open_rows: list[tuple[np.ndarray, ...]] = []
         open_key: tuple[int, ...] | None = None
-
-        def pairs():
-            rep, component, n, own, bits = (np.concatenate(c) for c in zip(*open_rows))
-            return rep, near_pairs(rep, component, n, bits, own, open_key[1], open_key[2], percent)
-
         found: list[tuple[np.ndarray, np.ndarray]] = []
 
         def close():
             if open_rows:
-                rep, (p, q) = pairs()
+                is_left, *columns = (np.concatenate(c) for c in zip(*open_rows))
+                left, right = [c[is_left] for c in columns], [c[~is_left] for c in columns]
+                p, q = near_pairs(left, right, open_key[0], percent)
                 if len(p):
-                    found.append((np.minimum(rep[p], rep[q]), np.maximum(rep[p], rep[q])))
+                    found.append((np.minimum(left[0][p], right[0][q]), np.maximum(left[0][p], right[0][q])))
                 open_rows.clear()
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, i, j = (batch.column(c).to_numpy() for c in ("key", "i", "j"))
-            rep, component, n, own = (batch.column(c).to_numpy() for c in ("rep", "component", "n", "own"))
+            key, i, j, rep, component, n = (batch.column(c).to_numpy() for c in ("key", "i", "j", "rep", "component", "n"))
+            is_left, minor = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("left", "minor"))
+            homes = batch.column("homes").flatten().to_numpy().reshape(len(rep), -1)
             bits = batch.column("sketch").flatten().to_numpy().view(np.uint64).reshape(len(rep), -1)
             new = np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))
             bounds = np.append(np.nonzero(new)[0], len(key)).tolist()
@@ -443,7 +483,7 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
                 if name != open_key:
                     close()
                     open_key = name
-                open_rows.append((rep[a:b], component[a:b], n[a:b], own[a:b], bits[a:b]))
+                open_rows.append(tuple(c[a:b] for c in (is_left, rep, component, n, minor, homes, bits)))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], schema=schema)
                 found.clear()
@@ -451,8 +491,10 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], schema=schema)
 
-    columns = ["key", "i", "j", "own", "rep", "component", "n", "sketch"]
-    blocks = dealt.select(*columns).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    columns = ["key", "i", "j", "left", "rep", "component", "n", "minor", "homes", "sketch"]
+    strays = side(found.where("minor"), True, "i", "j", "all_blocks").select(*columns)
+    everyone = side(found, False, "j", "i", "minor_blocks").select(*columns)
+    blocks = strays.unionByName(everyone).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return blocks.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -509,8 +551,8 @@ def similar_documents(
     marked = (
         in_groups.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep"))
-        .join(classes_of.select("rep", "n", "sketch"), "rep")
     )
+    marked = saved(marked, "group-members").join(classes_of.select("rep", "n", "sketch"), "rep")
     second = saved(_across(marked, percent).join(tried, ["a", "b"], "left_anti"), "second-pairs")
     rest = ends(second).join(sets.select("doc_id"), "doc_id", "left_anti")
     if not second.isEmpty():
