@@ -182,3 +182,21 @@ def test_extract(spark):
     assert got.columns == ["page_id", "url", "html", "row", "text", "n_chars"]
     assert sorted(r.n_chars for r in got.collect()) == [0, len(main_text(PAGE)), len(main_text(PAGE))]
     assert extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "name, kept",
+    [(c, True) for c in "share-price header-image search-tips menu-of-the-day related-work reply-letter comment-on-policy form-group banner-year toolbar-guide".split()]
+    + [(c, False) for c in "related-articles share-buttons comments comment-body user-comment ad ad-slot newsletter-signup social-links related2 newsletterBox".split()],
+)
+def test_marks_within_an_article_are_whole_classes(name, kept):
+    text = "A full paragraph of the article, with a comma and quite a few words; it says something. And a second sentence."
+    page = f"<body><article><h1>T</h1><p>{text} One.</p><div class='{name}'><p>{text} Two.</p></div></article></body>"
+    assert main_text(page).endswith("Two." if kept else "One.")
+
+
+def test_marks_beside_other_words_count_where_most_text_is_links():
+    text = "A full paragraph of the article, with a comma and quite a few words; it says something."
+    links = "".join(f"<li><a href='/{k}'>Another page of the site, number {k}.</a></li>" for k in range(5))
+    page = f"<body><article><h1>T</h1><p>{text}</p><div class='related-this-week'><ul>{links}</ul></div></article></body>"
+    assert main_text(page) == f"T\n{text}"

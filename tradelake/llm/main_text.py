@@ -8,7 +8,9 @@ paths above a share of the page's best value are content, as are an article's he
 article links lower a value only so far. Elements that by name, role or class
 are menus, headers, footers, sidebars, notices, adverts, forms or reader comments end a path
 with value 0, and scripts, styles and the like give no blocks. A class drops no wrapper that holds
-the page's main or article element or, without one, most of its unlinked text.
+the page's main or article element or, without one, most of its unlinked text. Inside an article
+only a class of marks and words for boxes alone drops an element; one with other words besides
+(``share-price``) does so if most of the element's text is links.
 
 Every page is one row's work: no shuffle.
 
@@ -47,6 +49,12 @@ MARKS = frozenset(
     newsletter subscribe signup login share sharing social comment comments commentlist disqus reply replies respond form search pagination
     pager toolbar""".split()
 )
+#: Words that only say what kind of box, list or place an element is.
+BOX = frozenset(
+    """box wrapper container block section area slot unit bar list links link items item button buttons icons posts articles stories
+    content inner outer wrap panel widget region top bottom left right main side inline primary secondary body text thread user
+    reader author feed card row col column grid post entry article page story news site""".split()
+)
 #: After these a class names what is there or missing beside an element, not the element itself.
 BESIDE = frozenset("has with no without".split())
 #: Words that may follow "social" in the class of a bar of links.
@@ -83,6 +91,12 @@ def marks_of(names: str) -> set[str]:
     return found
 
 
+def only_marks(names: str) -> bool:
+    """Whether a class or id consists of marks, words for boxes and numbers alone."""
+    parts = ([p.lower() for p in _PART.findall(name)] for name in names.split())
+    return any(marks_of(" ".join(p)) and all(x in MARKS or x in BOX or x.isdigit() for x in p) for p in parts if p)
+
+
 class _Paths:
     """Paths as numbers: a child is found by its parent and step."""
 
@@ -94,6 +108,7 @@ class _Paths:
         self.parent = [0]
         self.element = [""]  # article or main, but for an article that is a comment
         self.marked: dict[int, set[str]] = {}
+        self.doubtful: set[int] = set()  # marked paths in an article that count only if their text is links
 
     def child(self, parent: int, tag: str, attributes: dict[str, str]) -> int:
         marks = f"{attributes.get('class', '')} {attributes.get('id', '')}" if attributes else ""
@@ -107,6 +122,8 @@ class _Paths:
             found = marks_of(marks) if marks.strip() else set()
             if found and tag not in ("html", "body", "article", "main") and tag not in HEADINGS:
                 self.marked[path] = found
+                if self.article[parent] and not only_marks(marks):
+                    self.doubtful.add(path)
             self.dropped.append(drop)
             self.article.append(self.article[parent] or tag in ARTICLE)
             self.heading.append(self.heading[parent] or tag in HEADINGS)
@@ -123,19 +140,24 @@ class _Paths:
         if not self.marked:
             return
         n = len(self.parent)
-        unlinked, shown = [0] * n, [False] * n
+        unlinked, links, shown = [0] * n, [0] * n, [False] * n
         holds: dict[str, list[bool]] = {tag: [False] * n for tag in ARTICLE}
         open_paths = {path for path, _, _ in blocks if not self.dropped[path]}
         for path, text, linked in blocks:
             if path in open_paths:
                 unlinked[path] += len(text) - linked
+                links[path] += linked
                 shown[path] = True
         for path in range(n - 1, 0, -1):  # a child's number is larger than its parent's
             up = self.parent[path]
             unlinked[up] += unlinked[path]
+            links[up] += links[path]
             shown[up] = shown[up] or shown[path]
             for tag, inside in holds.items():
                 inside[up] = inside[up] or inside[path] or (shown[path] and self.element[path] == tag)
+        for path in self.doubtful:
+            if links[path] <= unlinked[path]:
+                del self.marked[path]
         lifted: set[int] = set()
 
         def closed() -> list[bool]:
