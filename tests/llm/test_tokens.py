@@ -76,6 +76,23 @@ def test_token_files(spark, tmp_dir):
     assert read_token_files(spark, path + "0").count() == 0
 
 
+def test_packing_is_one_result(spark):
+    """Whatever is asked of it, the plan gives the same pieces, in several ranges as in one."""
+    _, df = docs_of(spark)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    columns = ["doc_id", "start", "length", "ids", "sequence_id", "offset"]
+    for range_bytes in (200, 1 << 20):
+        pieces = packing.pack_documents(df, path, "dropped", 1, length=64, range_bytes=range_bytes).select(*columns)
+        first = sorted(map(repr, pieces.collect()))
+        assert first == sorted(map(repr, pieces.sort("length", "ids").collect()))
+        assert pieces.exceptAll(pieces.repartition(3)).count() == 0
+        again = packing.pack_documents(df.repartition(3), path, "dropped", 1, length=64, range_bytes=range_bytes).select("doc_id", "start", "ids")
+        ids = b"".join(sorted(r.ids for r in again.collect()))
+        assert len(ids) == sum(len(r.ids) for r in pieces.collect())
+        ranges = {r.sequence_id >> 36 for r in pieces.collect()}
+        assert len(ranges) > 1 if range_bytes == 200 else ranges == {0}
+
+
 def test_packing(spark):
     rows, df = docs_of(spark)
     pieces = packing.pack_documents(df, public_tokenizers.path("word_bpe_49k.json"), "dropped", 1, length=256).collect()

@@ -3,14 +3,15 @@
 Method: every document's token ids are hashed into a signed vector, projected to a few
 dimensions by a fixed random matrix, and scaled by means and deviations over all documents;
 the cell of that point has a Hilbert key. Documents are range-sorted by key, so neighbours on
-the curve share sequences, and each task lays its range end to end into sequences of
-``length`` ids. What is left at the end of a range is cut at powers of two, so no sequence
-has padding. Ranges end at (key, id), so copies that share a key do not share one task.
+the curve share sequences, and each range is laid end to end into sequences of ``length`` ids.
+What is left at the end of a range is cut at powers of two, so no sequence has padding. Ranges
+end at (key, id), so copies that share a key do not share one task. The ends are found once, by
+exact counts of id bytes below them, so whatever runs on the result sees the same pieces.
 
 Defined results
   null or empty text   only the end id, one piece
   null doc_id          sorts first among equal keys
-  repeated rows        packed once each
+  repeated rows        packed once each; rows of one id in the order of their ids' bytes
   empty table          no pieces
   other columns        ignored
 """
@@ -22,14 +23,15 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved, text_of
+from .histogram_sort import KEY, Probes, splitters
 from .tokens import encoded, encoder
 
 DIMS, BITS, HASHED = 3, 10, 512
+_LOWEST = -(1 << 63)
 IDS_SCHEMA = "doc_id long, n int, ids binary, point array<float>"
 IDS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("ids", pa.binary()), ("point", pa.list_(pa.float32()))])
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -101,9 +103,13 @@ def _cut(sizes: list[int], length: int) -> list[int]:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, spaces: str, end_id: int, length: int = 2048, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, tokenizer: str, spaces: str, end_id: int, length: int = 2048, id_col: str = "doc_id", text_col: str = "text",
+    range_bytes: int = 8 << 20, max_ranges: int = 16_384,
 ) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids (unsigned 32-bit little-endian), doc_tokens, sequence_id, offset."""
+    """One row per piece: doc_id, start, length, ids (unsigned 32-bit little-endian), doc_tokens, sequence_id, offset.
+
+    ``range_bytes`` of ids make a range, and more where there would be over ``max_ranges`` of them.
+    """
     matrix = projection()
 
     def ids_of(batches):
@@ -131,9 +137,20 @@ def pack_documents(
             return pd.Series([], dtype="int64")
         return pd.Series(hilbert_key(_cells(np.stack(points.to_numpy()), means, deviations)))
 
+    keyed = tokens.select("doc_id", "n", "ids", key_of("point").alias("h"), F.coalesce("doc_id", F.lit(_LOWEST)).alias("i"), F.lit(0).cast("long").alias("r"))
+    weights = saved(keyed.select(*KEY, F.octet_length("ids").cast("long").alias("bytes")), "packing-keys")
+    total = int(weights.agg(F.sum("bytes")).first()[0] or 0)
+    ranges = max(1, min(-(-total // range_bytes), max_ranges))
+    cuts = splitters(weights, [total * (k + 1) / ranges for k in range(ranges - 1)], [0.1 * total / ranges] * (ranges - 1))
+    bounds = sorted({c.key for c in cuts if c.key is not None})
+    finder = Probes(bounds) if bounds else None
+
+    @F.arrow_udf("int")
+    def range_of(h: pa.Array, i: pa.Array, r: pa.Array) -> pa.Array:
+        return pa.array((finder.places(*map(np.asarray, (h, i, r))) if finder else np.zeros(len(h))).astype(np.int32))
+
     def pack(batches):
-        task = TaskContext.get().partitionId()
-        done, fill = 0, 0  # full sequences so far, ids in the open one
+        piece = done = fill = 0  # range, full sequences of it so far, ids in the open one
         open_pieces: list[tuple] = []  # doc_id, start, ids, doc_tokens
         rows: list[dict] = []
 
@@ -141,7 +158,7 @@ def pack_documents(
             at = 0
             for doc_id, start, ids, n in pieces:
                 rows.append(
-                    {"doc_id": doc_id, "start": start, "length": len(ids), "ids": ids.astype("<u4").tobytes(), "doc_tokens": n, "sequence_id": (task << 36) + number, "offset": at}
+                    {"doc_id": doc_id, "start": start, "length": len(ids), "ids": ids.astype("<u4").tobytes(), "doc_tokens": n, "sequence_id": (piece << 36) + number, "offset": at}
                 )
                 at += len(ids)
 
@@ -156,9 +173,16 @@ def pack_documents(
                     pieces.insert(0, (doc_id, start + take, ids[take:], n))
             return head
 
+        def end_range():
+            for number, size in enumerate(_cut([len(p[2]) for p in open_pieces], length), done):
+                close(split(open_pieces, size), number)
+
         for batch in batches:
-            for doc_id, n, data in zip(batch.column("doc_id"), batch.column("n"), batch.column("ids")):
-                doc_id, n, data = doc_id.as_py(), n.as_py(), data.as_py()
+            for doc_id, n, data, place in zip(*(batch.column(c) for c in ("doc_id", "n", "ids", "piece"))):
+                doc_id, n, data, place = doc_id.as_py(), n.as_py(), data.as_py(), place.as_py()
+                if place != piece:
+                    end_range()
+                    piece, done, fill, open_pieces = place, 0, 0, []
                 ids = np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4")
                 start = 0
                 while start < n:
@@ -171,12 +195,10 @@ def pack_documents(
                 if len(rows) >= 500:
                     yield pa.RecordBatch.from_pylist(rows, schema=PIECE_ARROW)
                     rows.clear()
-        for size in _cut([len(p[2]) for p in open_pieces], length):
-            close(split(open_pieces, size), done)
-            done += 1
+        end_range()
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=PIECE_ARROW)
 
-    keyed = tokens.select("doc_id", "n", "ids", key_of("point").alias("key"))
-    ordered = keyed.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id").select("doc_id", "n", "ids")
+    dealt = keyed.withColumn("piece", range_of(*KEY)).repartitionById(len(bounds) + 1, F.col("piece"))
+    ordered = dealt.sortWithinPartitions("piece", "h", "i", "ids").select("doc_id", "n", "ids", "piece")
     return ordered.mapInArrow(pack, PIECE_SCHEMA)
