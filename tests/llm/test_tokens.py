@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tradelake.llm import packing, pfor
+from tradelake.llm import common, packing, pfor
 from tradelake.llm.token_files import read_token_files, write_token_files
 from tradelake.llm.tokens import encoder
 
@@ -122,3 +122,11 @@ def test_hilbert_neighbours():
     assert sorted(keys) == list(range(512))
     steps = np.abs(np.diff(cells[np.argsort(keys)], axis=0)).sum(axis=1)
     assert (steps == 1).all()
+
+
+def test_a_worker_keeps_one_cache(monkeypatch):
+    monkeypatch.setattr(common, "_KEPT", {})
+    first = common.kept("a", list)
+    assert common.kept("a", list) is first
+    assert common.kept("b", dict) == {} and list(common._KEPT) == ["b"]
+    assert common.kept("a", list) is not first

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +19,22 @@ _KEPT: dict = {}
 def kept(key, make):
     """What a Python worker keeps from task to task: one object, so that a stage drops the one of the stage before."""
     if key not in _KEPT:
-        _KEPT.clear()
+        if _KEPT:
+            _KEPT.clear()
+            give_back()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def give_back() -> None:
+    """Hand memory that is free again to the system; allocators keep it for themselves otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
