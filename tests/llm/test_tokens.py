@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tradelake.llm import common, packing, pfor
+from tradelake.llm import common, packing, pfor, tokens
 from tradelake.llm.token_files import read_token_files, write_token_files
 from tradelake.llm.tokens import encoder
 
@@ -130,3 +130,17 @@ def test_a_worker_keeps_one_cache(monkeypatch):
     assert common.kept("a", list) is first
     assert common.kept("b", dict) == {} and list(common._KEPT) == ["b"]
     assert common.kept("a", list) is not first
+
+
+def test_rare_words_are_encoded_but_not_kept(monkeypatch):
+    """Each group has many words of its own; only stems it holds more than once stay, and no more than fit."""
+    monkeypatch.setattr(tokens, "MAX_STEMS", 3)
+    rare = ["".join(chr(97 + (k * p) % 26) for p in (1, 3, 5, 7, 11)) + chr(97 + k // 26) for k in range(500)]
+    rare += ["\0odd", "Ærø###", "ÉTÉ.&&&", "don't", "x9", "日本"]
+    texts = [" ".join(rare[a::4] + ["often", "often,", "Often\nwords words", "more", "more", "again", "again."]) for a in range(4)]
+    for name, spaces in (("byte_bpe_50k.json", "part"), ("word_bpe_49k.json", "dropped")):
+        enc = tokens.WordEncoder(public_tokenizers.path(name), spaces)
+        for group in (texts[:2], texts[2:]):
+            for text, ids in zip(group, enc.encode(group)):
+                assert ids.tolist() == reference(name, text, 0)[:-1].tolist()
+        assert len(enc.places) == 3 and not set(enc.places) & set(rare)
