@@ -291,16 +291,28 @@ class Items:
             self.length = np.array([len(w) for w in self.words], dtype=np.int64)
             self.start = np.cumsum(self.length) - self.length
             self.terms = np.concatenate([t for _, t in group])
-            self.reach = -(-min(SHORT, int(self.length.max())) // STRIDE)
             # Of a leak's words all but a known number stand around the passage, and each missing word takes one bit at most.
             self.wide = wide_bits()
             whole = np.stack([np.bitwise_or.reduce(self.wide[t], axis=0) for _, t in group])
             n = self.length[self.owned]
             missing = np.where(n <= SHORT, n - np.ceil(PARAPHRASED * n - 1e-9).astype(np.int64), n)
-            self.needed = (np.bitwise_count(whole).sum(axis=1, dtype=np.int64) - missing).astype(np.float32)
-            self.whole = np.ascontiguousarray(_as_floats(whole).T)
+            needed = (np.bitwise_count(whole).sum(axis=1, dtype=np.int64) - missing).astype(np.float32)
+            # A leak lies within an item's length of the passage: shorter items are looked for in fewer rows.
+            reach = np.maximum(2, -(-np.minimum(SHORT, n) // STRIDE))
+            self.by_reach = [(int(r), k, np.ascontiguousarray(_as_floats(whole[k]).T), needed[k]) for r in np.unique(reach) for k in [np.nonzero(reach == r)[0]]]
+            self.passages = np.diff(np.append(self.firsts, len(owner)))
         self.empty = not group
 
+    def similar(self, vectors: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Whether passage ``p`` is a candidate for any passage of item ``q`` (by its place in ``owned``)."""
+        cosines = vectors @ self.vectors.T
+        out = cosines[p, self.firsts[q]] >= COSINE
+        for j in range(1, int(self.passages.max())):
+            more = np.nonzero(~out & (self.passages[q] > j))[0]
+            if len(more):
+                out[more] = cosines[p[more], self.firsts[q[more]] + j] >= COSINE
+        return out
+
     def may_align(self, present: np.ndarray, p: np.ndarray, item: np.ndarray) -> np.ndarray:
         """Whether enough of each item's words stand, in whatever order, around row ``p`` of ``present``."""
         out = np.ones(len(p), dtype=bool)
@@ -325,25 +337,26 @@ class Items:
         first, _ = _passages(doc_of_row)
         of_rows = np.bitwise_or.reduce(self.wide[rows], axis=1)
         words: dict[int, list[bytes]] = {}
-        for at in range(0, len(doc), 1024):
-            candidate = vectors[at : at + 1024] @ self.vectors.T >= COSINE
-            by_item = np.logical_or.reduceat(candidate, self.firsts, axis=1)
-            near = np.nonzero(by_item.any(axis=1))[0]
-            around = bits_around(of_rows, doc_of_row, first[at + near], self.reach)
-            p, q = np.nonzero(by_item[near] & (_as_floats(around) @ self.whole >= self.needed))
-            if not len(p):
-                continue
-            used, k = np.unique(near[p], return_inverse=True)
-            items, p = self.owned[q], near[p]
-            may = self.may_align(present_around(rows, doc_of_row, first[at + used], self.reach), k, items)
-            for p, item in zip((p[may] + at).tolist(), items[may].tolist()):
-                index = group[doc[p]][0]
-                if index not in words:
-                    words[index] = words_of(text_at(index))
-                ratio = leak_ratio(self.words[item], self.places[item], words[index], int(word[p]))
-                if ratio:
-                    mine = found.setdefault(index, {})
-                    mine[self.ids[item]] = max(ratio, mine.get(self.ids[item], 0.0))
+        for reach, owners, whole, needed in self.by_reach:
+            around = bits_around(of_rows, doc_of_row, first, reach)
+            for at in range(0, len(doc), 1024):
+                p, q = np.nonzero(_as_floats(around[at : at + 1024]) @ whole >= needed)
+                q = owners[q]
+                near = self.similar(vectors[at : at + 1024], p, q)
+                p, q = p[near], q[near]
+                if not len(p):
+                    continue
+                used, k = np.unique(p, return_inverse=True)
+                items = self.owned[q]
+                may = self.may_align(present_around(rows, doc_of_row, first[at + used], reach), k, items)
+                for p, item in zip((p[may] + at).tolist(), items[may].tolist()):
+                    index = group[doc[p]][0]
+                    if index not in words:
+                        words[index] = words_of(text_at(index))
+                    ratio = leak_ratio(self.words[item], self.places[item], words[index], int(word[p]))
+                    if ratio:
+                        mine = found.setdefault(index, {})
+                        mine[self.ids[item]] = max(ratio, mine.get(self.ids[item], 0.0))
         return found
 
 
