@@ -61,3 +61,14 @@ def test_merge_reads_only_the_staged_days(spark):
     plan = _plan(rows_to_add(spark, staged, table, ("symbol", "timestamp")))
     assert re.search(r"PartitionFilters: \[[^\]]*trade_date[^\]]*1970-01-02", plan)
     assert rows_to_add(spark, staged, table, ("symbol", "timestamp")).count() == staged.count()
+
+
+def test_each_half_is_chosen_before_it_is_decoded(spark, monkeypatch):
+    from tradelake import workloads
+
+    plans, write = [], workloads._one_file_a_day
+    monkeypatch.setattr(workloads, "_one_file_a_day", lambda rows, lake: (plans.append(_plan(rows)), write(rows, lake))[1])
+    workloads.q_two_streams(spark, "/root/testdata/sf0.001").collect()
+    assert len(plans) == 2
+    for plan in plans:  # the chosen rows come from below the generator that the rules end in
+        assert plan.rindex("event_id") > plan.rindex("Generate") and re.search(r"Filter .*event_id", plan[plan.rindex("Generate"):])

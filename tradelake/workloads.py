@@ -1020,10 +1020,12 @@ def q_stream_after_batch(spark, sf):
 
 def q_two_streams(spark, sf):
     """Two streams of the same name, each over half of the trades of the same days."""
-    halves = _clean_events(spark, sf)
+    messages = events_as_messages(spark, sf)
     table = _fresh_table(spark)
     for k in (0, 1):
-        lake = _one_file_a_day(halves.where(F.col("event_id") % 2 == k).drop("event_id"), scratch_dir(spark, "lake") + "/btc_trades")
+        # chosen as messages: each is decoded and cleaned once
+        half = split_trades(from_exchange(decode_json(messages.where(F.col("event_id") % 2 == k)))).clean
+        lake = _one_file_a_day(half, scratch_dir(spark, "lake") + "/btc_trades")
         load_stream(spark, lake, table, scratch_dir(spark, "ckpt"), trigger={"availableNow": True}).awaitTermination()
     return _per_day(fact_view(spark, table))
 
