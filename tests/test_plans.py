@@ -63,6 +63,22 @@ def test_merge_reads_only_the_staged_days(spark):
     assert rows_to_add(spark, staged, table, ("symbol", "timestamp")).count() == staged.count()
 
 
+def test_merge_works_the_staged_trades_out_once(spark):
+    table = "t_merge_once.btc_trades"
+    ensure_tables(spark, table, location=scratch_dir(spark, "wh"))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(symbol):
+        seen.add(1)
+        return symbol
+
+    staged = _trades(spark).select(counted("symbol").alias("symbol"), "price", "quantity", "timestamp")
+    both = staged.unionByName(staged.where(F.col("price") < 2))
+    assert rows_to_add(spark, both, table, ("symbol", "timestamp")).count() == 1000
+    assert seen.value == 2000
+
+
 def test_each_half_is_chosen_before_it_is_decoded(spark, monkeypatch):
     from tradelake import workloads
 

@@ -21,7 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import new_rows
+from ..operators.dedupe import dedupe_trades, new_rows
+from ..session import scratch_dir
 
 DEFAULT_LEDGER = "loaded_files"
 FACT_COLUMNS = ("symbol", "price", "quantity", "timestamp")
@@ -127,9 +128,14 @@ def fact_view(spark: SparkSession, table: str) -> DataFrame:
 
 def rows_to_add(spark: SparkSession, staged: DataFrame, table: str, keys: tuple[str, ...]) -> DataFrame:
     """Staged trades whose key the fact table does not hold. ``keys`` must hold
-    ``timestamp``: only the partitions of the staged days are read."""
+    ``timestamp``: only the partitions of the staged days are read. The staged trades are
+    worked out once, and one of each key is kept in the shared scratch folder: both their
+    days and the result are read from there."""
     if "timestamp" not in keys:
         raise ValueError("keys must hold timestamp")
+    path = scratch_dir(spark, "staged")
+    dedupe_trades(staged, keys).write.parquet(path)
+    staged = spark.read.schema(staged.schema).parquet(path)
     low, high = staged.agg(F.min(F.to_date("timestamp")), F.max(F.to_date("timestamp"))).first()
     target = fact_rows(spark, resolve_names(spark, table)).where(F.col("trade_date").between(F.lit(low), F.lit(high)))
     return new_rows(staged, target.select(*FACT_COLUMNS), keys)
