@@ -144,3 +144,10 @@ def test_rare_words_are_encoded_but_not_kept(monkeypatch):
             for text, ids in zip(group, enc.encode(group)):
                 assert ids.tolist() == reference(name, text, 0)[:-1].tolist()
         assert len(enc.places) == 3 and not set(enc.places) & set(rare)
+
+
+def test_a_packing_task_needs_one_python_worker(spark):
+    docs = spark.createDataFrame([(k, f"word {k} and more") for k in range(50)], "doc_id long, text string")
+    pieces = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), spaces="dropped", end_id=1)
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and pieces.agg({"length": "sum"}).first()[0] == sum(len(reference("word_bpe_49k.json", r.text, 1)) for r in docs.collect())

@@ -21,7 +21,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,13 +130,15 @@ def pack_documents(
     stats = tokens.agg(*[F.avg(d) for d in dims], *[F.stddev_pop(d) for d in dims]).first()
     means, deviations = [x or 0.0 for x in stats[:DIMS]], [x or 1.0 for x in stats[DIMS:]]
 
-    @F.pandas_udf("long")
-    def key_of(points: pd.Series) -> pd.Series:
-        if not len(points):
-            return pd.Series([], dtype="int64")
-        return pd.Series(hilbert_key(_cells(np.stack(points.to_numpy()), means, deviations)))
+    def keys(points: pa.Array) -> np.ndarray:
+        return hilbert_key(_cells(np.asarray(points.flatten()).reshape(-1, DIMS), means, deviations))
 
-    keyed = tokens.select("doc_id", "n", "ids", key_of("point").alias("h"), F.coalesce("doc_id", F.lit(_LOWEST)).alias("i"), F.lit(0).cast("long").alias("r"))
+    @F.arrow_udf("long")
+    def key_of(points: pa.Array) -> pa.Array:
+        return pa.array(keys(points), pa.int64())
+
+    rest = ["doc_id", "n", "ids", F.coalesce("doc_id", F.lit(_LOWEST)).alias("i"), F.lit(0).cast("long").alias("r")]
+    keyed = tokens.select(*rest, key_of("point").alias("h"))
     weights = saved(keyed.select(*KEY, F.octet_length("ids").cast("long").alias("bytes")), "packing-keys")
     total = int(weights.agg(F.sum("bytes")).first()[0] or 0)
     ranges = max(1, min(-(-total // range_bytes), max_ranges))
@@ -146,8 +147,8 @@ def pack_documents(
     finder = Probes(bounds) if bounds else None
 
     @F.arrow_udf("int")
-    def range_of(h: pa.Array, i: pa.Array, r: pa.Array) -> pa.Array:
-        return pa.array((finder.places(*map(np.asarray, (h, i, r))) if finder else np.zeros(len(h))).astype(np.int32))
+    def range_of(points: pa.Array, i: pa.Array, r: pa.Array) -> pa.Array:
+        return pa.array((finder.places(keys(points), np.asarray(i), np.asarray(r)) if finder else np.zeros(len(i))).astype(np.int32))
 
     def pack(batches):
         piece = done = fill = 0  # range, full sequences of it so far, ids in the open one
@@ -199,6 +200,8 @@ def pack_documents(
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=PIECE_ARROW)
 
-    dealt = keyed.withColumn("piece", range_of(*KEY)).repartitionById(len(bounds) + 1, F.col("piece"))
+    # the range from the point, not from its key: so one Python worker a task works out both, not two after each other
+    placed = tokens.select(*rest, "point").select("*", key_of("point").alias("h"), range_of("point", "i", "r").alias("piece"))
+    dealt = placed.repartitionById(len(bounds) + 1, F.col("piece"))
     ordered = dealt.sortWithinPartitions("piece", "h", "i", "ids").select("doc_id", "n", "ids", "piece")
     return ordered.mapInArrow(pack, PIECE_SCHEMA)
