@@ -260,3 +260,40 @@ def test_short_items_are_looked_for_in_fewer_rows():
     group = [(k, decontaminate.terms_of(decontaminate.hashes_of(decontaminate.words_of(t)))) for k, t in enumerate(texts)]
     found = block.search(group, lambda k: texts[k])
     assert {k: set(v) for k, v in found.items()} == {k: {1 + (k >= 7)} for k in range(14)}
+
+
+def test_words_of_no_item_cost_no_comparison(monkeypatch):
+    """Documents without an item's words give no pairs; all leaks of brute force over every pair are found."""
+    rng = np.random.default_rng(5)
+    vocabulary = {f"w{k}": decontaminate.hashes_of([b"w%d" % k])[0] % decontaminate.TERMS for k in range(9000)}
+    of_items = list(vocabulary)[:600]
+    taken = {vocabulary[w] for w in of_items}
+    others = [w for w, term in vocabulary.items() if term not in taken]
+    items = [(k, " ".join(rng.choice(of_items, 12 + k))) for k in range(40)]
+    table = rng.normal(size=(decontaminate.TERMS + 1, decontaminate.KEPT)).astype(np.float32)
+    table[-1] = 0
+    block = decontaminate.Items(items, table)
+    compared = []
+
+    def all_are_similar(self, vectors, p, q):
+        compared.append(len(p))
+        return np.ones(len(p), dtype=bool)
+
+    monkeypatch.setattr(decontaminate.Items, "similar", all_are_similar)
+
+    def search(texts):
+        return block.search([(k, decontaminate.terms_of(decontaminate.hashes_of(decontaminate.words_of(t)))) for k, t in enumerate(texts)], lambda k: texts[k])
+
+    assert search([" ".join(rng.choice(others, 400)) for _ in range(60)]) == {} and sum(compared) == 0
+    texts, truth = [], {}
+    for k, (_, text) in enumerate(items):
+        copy = [w if rng.random() < 0.75 else str(rng.choice(of_items)) for w in text.split()]
+        body = rng.choice(others if k % 2 else of_items, 100).tolist()
+        texts.append(" ".join(body[: k * 2] + copy + body[k * 2 :]))
+        words = decontaminate.words_of(texts[-1])
+        for i, other in items:
+            item = decontaminate.words_of(other)
+            ratio = max(decontaminate.leak_ratio(item, decontaminate.places_of(item), words, a) for a in range(0, max(1, len(words) - 16), 16))
+            if ratio:
+                truth.setdefault(k, {})[i] = ratio
+    assert len(truth) > 10 and search(texts) == truth

@@ -46,6 +46,8 @@ COSINE = 0.05
 COPIED, PARAPHRASED = 0.75, 0.55
 #: Items of more words are aligned without counting their words first.
 SHORT = 256
+#: Bits of items' words: those compared for every passage and item, and for the pairs left.
+WIDE, FINE = 512, 2048
 ITEMS_PER_BLOCK = 4096
 _DROPPED = b".,;:!?\"'()[]{}"
 PIECES = 16
@@ -97,6 +99,15 @@ def _passages(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, first + with_next[first]
 
 
+def _over_words(table: np.ndarray, rows: np.ndarray, add=np.add) -> np.ndarray:
+    """The table's rows of the words of each row, added up, one word of every row at a time."""
+    columns = np.ascontiguousarray(rows.T)
+    out = np.take(table, columns[0], axis=0)
+    for column in columns[1:]:
+        add(out, np.take(table, column, axis=0), out=out)
+    return out
+
+
 def _sum_rows(rows: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     out = rows[first]
     two = last > first
@@ -158,8 +169,9 @@ def sketch_of(group: list[tuple[int, np.ndarray]], idf: np.ndarray, weighted: np
     if not len(rows):
         return
     first, last = _passages(doc)
-    length = _sum_rows(np.append(idf, 0).astype(np.float32)[rows].astype(np.float64) ** 2 @ np.ones(STRIDE), first, last)
-    z = _sum_rows(weighted[rows].sum(axis=1), first, last) / length[:, None]
+    squares = np.append(idf, 0).astype(np.float32).astype(np.float64) ** 2
+    length = _sum_rows(np.take(squares, rows) @ np.ones(STRIDE), first, last)
+    z = _sum_rows(_over_words(weighted, rows), first, last) / length[:, None]
     back = np.zeros((len(rows), z.shape[1]))
     back[first] = z
     two = last > first
@@ -187,11 +199,13 @@ def latent_table(terms: DataFrame) -> np.ndarray:
     return table_from(y, idf)
 
 
-def wide_bits() -> np.ndarray:
-    """Every term as one of 512 bits (8 words)."""
-    k = np.arange(TERMS)
-    out = np.zeros((TERMS + 1, 8), dtype=np.uint64)
-    out[k, (k >> 6) & 7] = np.uint64(1) << (k & 63).astype(np.uint64)
+def wide_bits(terms: np.ndarray, n_bits: int) -> np.ndarray:
+    """Every one of ``terms`` as one of ``n_bits`` bits (in words of 64), the most frequent ones in different bits; other terms have none."""
+    found, n = np.unique(terms, return_counts=True)
+    bit = np.empty(len(found), dtype=np.int64)
+    bit[np.argsort(-n, kind="stable")] = np.arange(len(found)) % n_bits
+    out = np.zeros((TERMS + 1, n_bits // 64), dtype=np.uint64)
+    out[found, bit >> 6] = np.uint64(1) << (bit & 63).astype(np.uint64)
     return out
 
 
@@ -211,7 +225,7 @@ def passages_of(group: list[tuple[int, np.ndarray]], table: np.ndarray):
     """Of all passages at the stride: unit latent vector, document, first word."""
     rows, doc, number = _padded(group)
     first, last = _passages(doc)
-    vectors = _sum_rows(table[rows].sum(axis=1), first, last)
+    vectors = _sum_rows(_over_words(table, rows), first, last)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     return vectors, doc[first], STRIDE * number[first]
 
@@ -232,10 +246,11 @@ def present_around(rows: np.ndarray, doc: np.ndarray, first: np.ndarray, reach:
     return out
 
 
-def bits_around(bits: np.ndarray, doc: np.ndarray, first: np.ndarray, reach: int) -> np.ndarray:
-    """The same as bits: what ``reach`` rows before and after a passage hold together."""
-    out = np.zeros((len(first), bits.shape[1]), dtype=np.uint64)
-    for step in range(-reach, reach + 2):
+def bits_around(bits: np.ndarray, doc: np.ndarray, first: np.ndarray, reach: int, out: np.ndarray | None = None, known: int = -1) -> np.ndarray:
+    """The same as bits: what ``reach`` rows before and after a passage hold together. ``out`` holds those of ``known`` rows already."""
+    if out is None:
+        out = np.zeros((len(first), bits.shape[1]), dtype=np.uint64)
+    for step in [*range(-reach, -known), *range(known + 2, reach + 2)] if known >= 0 else range(-reach, reach + 2):
         at = first + step
         inside = (at >= 0) & (at < len(doc))
         inside[inside] = doc[at[inside]] == doc[first[inside]]
@@ -292,11 +307,14 @@ class Items:
             self.start = np.cumsum(self.length) - self.length
             self.terms = np.concatenate([t for _, t in group])
             # Of a leak's words all but a known number stand around the passage, and each missing word takes one bit at most.
-            self.wide = wide_bits()
+            # Words of no item take no bits. Few bits are compared for all pairs, more for the pairs that are left.
+            self.wide, self.fine = wide_bits(self.terms, WIDE), wide_bits(self.terms, FINE)
             whole = np.stack([np.bitwise_or.reduce(self.wide[t], axis=0) for _, t in group])
+            self.whole = np.stack([np.bitwise_or.reduce(self.fine[t], axis=0) for _, t in group])
             n = self.length[self.owned]
             missing = np.where(n <= SHORT, n - np.ceil(PARAPHRASED * n - 1e-9).astype(np.int64), n)
             needed = (np.bitwise_count(whole).sum(axis=1, dtype=np.int64) - missing).astype(np.float32)
+            self.needed = np.bitwise_count(self.whole).sum(axis=1, dtype=np.int64) - missing
             # A leak lies within an item's length of the passage: shorter items are looked for in fewer rows.
             reach = np.maximum(2, -(-np.minimum(SHORT, n) // STRIDE))
             self.by_reach = [(int(r), k, np.ascontiguousarray(_as_floats(whole[k]).T), needed[k]) for r in np.unique(reach) for k in [np.nonzero(reach == r)[0]]]
@@ -305,12 +323,20 @@ class Items:
 
     def similar(self, vectors: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Whether passage ``p`` is a candidate for any passage of item ``q`` (by its place in ``owned``)."""
-        cosines = vectors @ self.vectors.T
-        out = cosines[p, self.firsts[q]] >= COSINE
-        for j in range(1, int(self.passages.max())):
+        out = np.zeros(len(p), dtype=bool)
+        for j in range(int(self.passages.max())):
             more = np.nonzero(~out & (self.passages[q] > j))[0]
-            if len(more):
-                out[more] = cosines[p[more], self.firsts[q[more]] + j] >= COSINE
+            for at in range(0, len(more), 8192):
+                k = more[at : at + 8192]
+                out[k] = np.einsum("ij,ij->i", vectors[p[k]], self.vectors[self.firsts[q[k]] + j]) >= COSINE
+        return out
+
+    def may_hold(self, around: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Whether row ``p`` of ``around`` has enough of the bits of item ``q`` (by its place in ``owned``)."""
+        out = np.zeros(len(p), dtype=bool)
+        for at in range(0, len(p), 8192):
+            k = slice(at, at + 8192)
+            out[k] = np.bitwise_count(around[p[k]] & self.whole[q[k]]).sum(axis=1, dtype=np.int64) >= self.needed[q[k]]
         return out
 
     def may_align(self, present: np.ndarray, p: np.ndarray, item: np.ndarray) -> np.ndarray:
@@ -335,13 +361,18 @@ class Items:
         vectors, doc, word = passages_of(group, self.table)
         rows, doc_of_row, _ = _padded(group)
         first, _ = _passages(doc_of_row)
-        of_rows = np.bitwise_or.reduce(self.wide[rows], axis=1)
+        of_rows, fine_of_rows = (_over_words(bits, rows, np.bitwise_or) for bits in (self.wide, self.fine))
         words: dict[int, list[bytes]] = {}
+        around, known = None, -1
         for reach, owners, whole, needed in self.by_reach:
-            around = bits_around(of_rows, doc_of_row, first, reach)
+            around = bits_around(of_rows, doc_of_row, first, reach, around, known)
+            known = reach
             for at in range(0, len(doc), 1024):
                 p, q = np.nonzero(_as_floats(around[at : at + 1024]) @ whole >= needed)
                 q = owners[q]
+                used, k = np.unique(p, return_inverse=True)
+                held = self.may_hold(bits_around(fine_of_rows, doc_of_row, first[at + used], reach), k, q)
+                p, q = p[held], q[held]
                 near = self.similar(vectors[at : at + 1024], p, q)
                 p, q = p[near], q[near]
                 if not len(p):
